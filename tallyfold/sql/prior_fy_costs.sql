@@ -1,0 +1,9 @@
+SELECT IF(environment <=> 'PROD', 'PROD', 'NON-PROD') AS environment_type,
+  CAST(sum(cost) AS DOUBLE) AS total_cost,
+  CAST(sum(IF(date <= :prior_ytd_end, cost, 0)) AS DOUBLE) AS ytd_cost
+FROM IDENTIFIER(:table)
+WHERE date BETWEEN :prior_fy_start AND :prior_fy_end
+  AND (:cto IS NULL OR cto = :cto)
+  AND (:pillar IS NULL OR tr_product_pillar_team = :pillar)
+  AND (:product IS NULL OR tr_product_id = :product)
+GROUP BY ALL
