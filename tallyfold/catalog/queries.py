@@ -48,7 +48,7 @@ def registered() -> dict[str, Query]:
 
 
 def _as_float(facts: DataFrame) -> DataFrame:
-    return facts.withColumn("cost", F.col("cost").cast("double"))
+    return facts.withColumn("cost", F.expr("double(cost)"))
 
 
 def _by_environment(spark: SparkSession, folder: str, spans: list[DateRange]) -> DataFrame:
@@ -94,7 +94,7 @@ def scan_daily_averages(spark, folder):
 @_query
 def conform_to_schema(spark, folder):
     facts = star_facts(spark, folder)
-    texts = facts.select([F.col(name).cast("string").alias(name) for name in facts.columns])
+    texts = facts.selectExpr(*[f"string({name}) as {name}" for name in facts.columns])
     return tables.conform_to_schema(texts, COST_FACTS_FLOAT)
 
 
@@ -124,9 +124,7 @@ def csv_write(spark, folder):
         for path, header in ((plain, False), (headed, True))
     ]
     both = read[0].unionByName(read[1])
-    return both.groupBy("header", "date", "cloud").agg(
-        F.count(F.lit(1)).alias("fact_count"), money.double(F.sum("cost")).alias("total_cost")
-    )
+    return _count_and_cost(both, "header", "date", "cloud")
 
 
 @_query
@@ -152,9 +150,9 @@ def create_daily_average_view(spark, folder):
 def union_sources(spark, folder):
     facts = star_facts(spark, folder)
     sources = [
-        facts.filter(F.col("cloud") == "A"),
-        facts.filter(F.col("cloud") == "N").drop("tr_subpillar_name"),
-        facts.filter(F.col("cloud") == "R").withColumn("cost", F.col("cost").cast("string")),
+        facts.filter("cloud = 'A'"),
+        facts.filter("cloud = 'N'").drop("tr_subpillar_name"),
+        facts.filter("cloud = 'R'").withColumn("cost", F.expr("string(cost)")),
     ]
     return _as_float(tables.union_sources(sources))
 
@@ -200,14 +198,12 @@ def named_query(spark, folder):
 
 
 def _count_and_cost(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("fact_count"), money.double(F.sum("cost")).alias("total_cost")
-    )
+    return facts.groupBy(*keys).agg(F.expr("count(*) as fact_count"), F.expr("double(sum(cost)) as total_cost"))
 
 
 def _classified(spark: SparkSession, folder: str, mode: str) -> DataFrame:
     facts = star_facts(spark, folder, "environment", "cost")
-    labelled = facts.withColumn("environment_type", classify_environment(mode=mode))
+    labelled = facts.selectExpr("*", f"{classify_environment(mode=mode)} as environment_type")
     return _count_and_cost(labelled, "environment", "environment_type")
 
 
@@ -229,47 +225,45 @@ def classify_env_contains(spark, folder):
 @_query
 def product_display_id(spark, folder):
     facts = star_facts(spark, folder, "tr_product_pillar_team", "tr_product_id")
-    return facts.distinct().withColumn("display_id", breakdowns.product_display_id())
+    return facts.distinct().selectExpr("*", f"{breakdowns.product_display_id()} as display_id")
 
 
 @_query
 def money_labels(spark, folder):
     rows = breakdowns.stacked_share(breakdowns.all_pillar_costs(_by_pillar(spark, folder), DATES))
-    amount, share = F.col("prod_ytd_cost"), F.col("prod_share")
-    return rows.select(
+    amount, share = "prod_ytd_cost", "prod_share"
+    return rows.selectExpr(
         "pillar_name",
-        money.currency_label(amount).alias("currency_label"),
-        money.bar_label(amount, share).alias("bar_label"),
-        money.bar_label(amount, share, millions=True).alias("millions_label"),
-        money.products_label(amount, F.col("product_count")).alias("products_label"),
+        f"{money.currency_label(amount)} as currency_label",
+        f"{money.bar_label(amount, share)} as bar_label",
+        f"{money.bar_label(amount, share, millions=True)} as millions_label",
+        f"{money.products_label(amount, 'product_count')} as products_label",
     )
 
 
 @_query
 def scale_to_millions(spark, folder):
     costs = periods.ytd_costs(_by_environment(spark, folder, _YTD), DATES)
-    return costs.withColumn("ytd_cost_millions", money.to_millions(F.col("ytd_cost")))
+    return costs.selectExpr("*", f"{money.to_millions('ytd_cost')} as ytd_cost_millions")
 
 
 @_query
 def change_direction(spark, folder):
     pairs = periods.percent_change_comparison(_by_environment(spark, folder, _PERIODS), DATES)
-    change = F.col("current_cost") - F.col("previous_cost")
-    return pairs.select(
-        "period", "environment_type", change.alias("change"), money.change_direction(change).alias("direction")
-    )
+    changes = pairs.selectExpr("period", "environment_type", "current_cost - previous_cost as change")
+    return changes.selectExpr("*", f"{money.change_direction('change')} as direction")
 
 
 @_query
 def coerce_numeric(spark, folder):
     facts = star_facts(spark, folder, "tr_subpillar_name", "tr_product_id", "cost")
-    distinct = facts.groupBy("tr_subpillar_name", "tr_product_id").agg(F.max("cost").alias("cost"))
-    return distinct.select(
+    distinct = facts.groupBy("tr_subpillar_name", "tr_product_id").agg(F.expr("string(max(cost)) as cost"))
+    return distinct.selectExpr(
         "tr_subpillar_name",
         "tr_product_id",
-        money.coerce_numeric(F.col("tr_subpillar_name")).alias("subpillar_number"),
-        money.coerce_numeric(F.substring("tr_product_id", 2, 20)).alias("product_number"),
-        money.coerce_numeric(F.col("cost").cast("string")).alias("cost_number"),
+        f"{money.coerce_numeric('tr_subpillar_name')} as subpillar_number",
+        f"{money.coerce_numeric('substring(tr_product_id, 2)')} as product_number",
+        f"{money.coerce_numeric('cost')} as cost_number",
     )
 
 
@@ -279,59 +273,53 @@ def _days(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def month_bounds(spark, folder):
-    months = _days(spark, folder).select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
-    month = F.col("month")
-    return months.select(
-        month, fiscal.month_start(month).alias("month_start"), fiscal.month_end(month).alias("month_end")
+    months = _days(spark, folder).selectExpr("date_format(date, 'yyyy-MM') as month").distinct()
+    return months.selectExpr(
+        "month", f"{fiscal.month_start('month')} as month_start", f"{fiscal.month_end('month')} as month_end"
     )
 
 
 @_query
 def period_labels(spark, folder):
-    day = F.col("date")
-    return _days(spark, folder).select(
-        day,
-        fiscal.month_label(day).alias("month_label"),
-        fiscal.range_label(F.date_sub(day, 6), day).alias("week_label"),
+    return _days(spark, folder).selectExpr(
+        "date",
+        f"{fiscal.month_label('date')} as month_label",
+        f"{fiscal.range_label('date_sub(date, 6)', 'date')} as week_label",
     )
 
 
 @_query
 def relative_periods(spark, folder):
-    derived = fiscal.relative_periods(F.col("date"))
-    return _days(spark, folder).select("date", *[value.alias(name) for name, value in derived.items()])
+    derived = fiscal.relative_periods("date")
+    return _days(spark, folder).selectExpr("date", *[f"{value} as {name}" for name, value in derived.items()])
 
 
 @_query
 def report_window(spark, folder):
-    derived = fiscal.report_window(F.col("date"))
-    return _days(spark, folder).select("date", *[value.alias(name) for name, value in derived.items()])
+    derived = fiscal.report_window("date")
+    return _days(spark, folder).selectExpr("date", *[f"{value} as {name}" for name, value in derived.items()])
 
 
 @_query
 def fiscal_year_of(spark, folder):
-    day = F.col("date")
-    return _days(spark, folder).select(
-        day,
-        fiscal.fiscal_year(day).alias("fiscal_year"),
-        fiscal.fiscal_year_start(day).alias("fiscal_year_start"),
-        fiscal.fiscal_year_end(day).alias("fiscal_year_end"),
-        fiscal.day_of_fiscal_year(day).alias("day_of_fiscal_year"),
+    return _days(spark, folder).selectExpr(
+        "date",
+        f"{fiscal.fiscal_year('date')} as fiscal_year",
+        f"{fiscal.fiscal_year_start('date')} as fiscal_year_start",
+        f"{fiscal.fiscal_year_end('date')} as fiscal_year_end",
+        f"{fiscal.day_of_fiscal_year('date')} as day_of_fiscal_year",
     )
 
 
 @_query
 def seasonal_cost_model(spark, folder):
     facts = star_facts(spark, folder, "date", "cloud", "cost")
-    base = facts.groupBy("date", "cloud").agg(F.max("cost").alias("base_cost"))
-    day, cost = F.col("date"), F.col("base_cost")
-    averages = seasonal.seasonal_daily_averages(cost, day, MODEL_START)
-    return base.select(
-        "date",
-        "cloud",
-        money.double(cost).alias("base_cost"),
-        seasonal.seasonal_cost(cost, day, MODEL_START).alias("seasonal_cost"),
-        *[value.alias(name) for name, value in averages.items()],
+    base = facts.groupBy("date", "cloud").agg(F.expr("double(max(cost)) as base_cost"))
+    averages = seasonal.seasonal_daily_averages("base_cost", "date", MODEL_START)
+    return base.selectExpr(
+        "*",
+        f"{seasonal.seasonal_cost('base_cost', 'date', MODEL_START)} as seasonal_cost",
+        *[f"{value} as {name}" for name, value in averages.items()],
     )
 
 
@@ -340,9 +328,14 @@ def fill_missing_costs(spark, folder):
     facts = _by_product(spark, folder)
     rows = breakdowns.env_pivot_sums(facts, DATES, "product")
     # Absent parts, and a total lost where the product is all non-production.
-    thinned = rows.withColumn("prod_ytd_cost", F.nullif(F.col("prod_ytd_cost"), F.lit(0.0))).withColumn(
-        "total_ytd_cost",
-        F.when(F.col("total_ytd_cost") != F.col("nonprod_ytd_cost"), F.col("total_ytd_cost")),
+    thinned = rows.selectExpr(
+        "product_name",
+        "pillar_team",
+        "product_id",
+        "cto_org",
+        "nullif(prod_ytd_cost, 0D) as prod_ytd_cost",
+        "nonprod_ytd_cost",
+        "nullif(total_ytd_cost, nonprod_ytd_cost) as total_ytd_cost",
     )
     return breakdowns.fill_missing_costs(thinned)
 
@@ -350,9 +343,7 @@ def fill_missing_costs(spark, folder):
 @_query
 def env_columns_from_rows(spark, folder):
     rows = breakdowns.with_environment_columns(_environment_rows(spark, folder))
-    return rows.select(
-        "product_name", "environment", *[money.double(F.col(name)).alias(name) for name in breakdowns.AMOUNTS]
-    )
+    return rows.selectExpr("product_name", "environment", *[f"double({name}) as {name}" for name in breakdowns.AMOUNTS])
 
 
 def _environment_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -440,8 +431,8 @@ def forecast_not_null(spark, folder):
 @_query
 def null_safe_ratio_guard(spark, folder):
     rows = breakdowns.env_pivot_sums(_by_product(spark, folder), DATES, "product")
-    share = money.safe_ratio(F.col("nonprod_ytd_cost"), F.col("prod_ytd_cost"))
-    return rows.select("pillar_team", "product_id", "cto_org", share.alias("nonprod_to_prod"))
+    share = money.safe_ratio("nonprod_ytd_cost", "prod_ytd_cost")
+    return rows.selectExpr("pillar_team", "product_id", "cto_org", f"{share} as nonprod_to_prod")
 
 
 # --- joins -------------------------------------------------------------------------------------
@@ -466,7 +457,7 @@ def calendar_dimension_grid(spark, folder):
 def add_missing_environments(spark, folder):
     prior = daily.daily_costs(_by_cto(spark, folder, [DATES.prior_year.range]), DATES.prior_year.range)
     current = daily.daily_costs(_by_cto(spark, folder), DATES.ytd)
-    production_only = current.filter(F.col("environment_type") == "PROD")
+    production_only = current.filter("environment_type = 'PROD'")
     return trend.add_missing_environments(production_only, prior)
 
 
@@ -475,10 +466,10 @@ def budget_variance(spark, folder):
     prior = periods.fy_total_costs(
         _by_environment(spark, folder, [DATES.prior_year.range]), DATES, DATES.prior_year
     )
-    budgets = prior.select(
+    budgets = prior.selectExpr(
         "environment_type",
-        (F.col("total_cost") * 1.05).alias("budget_amount"),
-        F.lit(str(DATES.fiscal_year.number)).alias("fiscal_year"),
+        "total_cost * 1.05D as budget_amount",
+        f"'{DATES.fiscal_year.number}' as fiscal_year",
     )
     actuals = periods.fy_total_costs(_by_environment(spark, folder, [DATES.fiscal_year.range]), DATES)
     return budget.budget_variance(actuals, budgets, str(DATES.fiscal_year.number))
@@ -559,8 +550,8 @@ def env_pivot_sums(spark, folder):
 @_query
 def distinct_product_count(spark, folder):
     facts = star_facts(spark, folder, "tr_product_pillar_team", "tr_product_id")
-    counted = facts.groupBy(F.col("tr_product_pillar_team").alias("pillar_name"))
-    return counted.agg(F.count_distinct("tr_product_id").alias("product_count"))
+    pillars = facts.groupBy(F.expr("tr_product_pillar_team as pillar_name"))
+    return pillars.agg(F.expr("count(distinct tr_product_id) as product_count"))
 
 
 @_query
@@ -682,16 +673,16 @@ def period_matrix(spark, folder):
 @_query
 def run_rate_forecast(spark, folder):
     costs = periods.ytd_costs(_by_environment(spark, folder, _YTD), DATES)
-    forecast = money.run_rate_forecast(F.col("ytd_cost"), DATES.run_rate_days)
-    return costs.withColumn("forecasted_cost", forecast)
+    return costs.selectExpr("*", f"{money.run_rate_forecast('ytd_cost', DATES.run_rate_days)} as forecasted_cost")
 
 
 @_query
 def run_rate_forecast_python(spark, folder):
     costs = periods.ytd_costs(_by_environment(spark, folder, _YTD), DATES)
     days = (DATES.as_of - DATES.fiscal_year.start).days
-    forecast = money.run_rate_forecast_at_least_one_day(F.col("ytd_cost"), days)
-    return costs.withColumn("forecasted_cost", forecast)
+    return costs.selectExpr(
+        "*", f"{money.run_rate_forecast_at_least_one_day('ytd_cost', days)} as forecasted_cost"
+    )
 
 
 @_query

@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 PROD = "PROD"
 NON_PROD = "NON-PROD"
 CLASSES = (PROD, NON_PROD)
 
-_TESTS = {
-    "exact": lambda label: label == F.lit(PROD),
-    "prefix": lambda label: label.startswith(PROD),
-    "contains": lambda label: label.contains(PROD),
-}
+_TESTS = {"exact": "{0} = 'PROD'", "prefix": "startswith({0}, 'PROD')", "contains": "contains({0}, 'PROD')"}
 
 
-def classify_environment(label: Column | str = "environment", mode: str = "exact") -> Column:
+def classify_environment(label: str = "environment", mode: str = "exact") -> str:
     """PROD or NON-PROD; a NULL label is NON-PROD.
 
     ``contains`` also takes ``NON-PROD`` for production, which is how the documented
     daily-average view treats it; ``prefix`` and ``exact`` do not.
     """
-    column = F.col(label) if isinstance(label, str) else label
-    return F.when(_TESTS[mode](column), F.lit(PROD)).otherwise(F.lit(NON_PROD))
-
-
-def same_text_ignoring_case(column: Column | str, value: str) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return F.upper(column) == F.upper(F.lit(value))
+    return f"if({_TESTS[mode].format(label)}, 'PROD', 'NON-PROD')"

@@ -1,68 +1,63 @@
-"""Calendar and fiscal-calendar expressions over a date column."""
+"""Calendar and fiscal-calendar expressions over a date."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def fiscal_year(day: Column, first_month: int = 2) -> Column:
+def fiscal_year(day: str, first_month: int = 2) -> str:
     """Number of the fiscal year a day falls in (named after the year it ends in)."""
-    return F.year(F.add_months(day, (13 - first_month) % 12))
+    return f"year(add_months({day}, {(13 - first_month) % 12}))"
 
 
-def fiscal_year_start(day: Column, first_month: int = 2) -> Column:
+def fiscal_year_start(day: str, first_month: int = 2) -> str:
     started = 1 if first_month > 1 else 0
-    return F.make_date(fiscal_year(day, first_month) - started, F.lit(first_month), F.lit(1))
+    return f"make_date({fiscal_year(day, first_month)} - {started}, {first_month}, 1)"
 
 
-def fiscal_year_end(day: Column, first_month: int = 2) -> Column:
-    return F.date_sub(F.add_months(fiscal_year_start(day, first_month), 12), 1)
+def fiscal_year_end(day: str, first_month: int = 2) -> str:
+    return f"date_sub(add_months({fiscal_year_start(day, first_month)}, 12), 1)"
 
 
-def day_of_fiscal_year(day: Column, first_month: int = 2) -> Column:
-    return F.datediff(day, fiscal_year_start(day, first_month)) + 1
+def day_of_fiscal_year(day: str, first_month: int = 2) -> str:
+    return f"datediff({day}, {fiscal_year_start(day, first_month)}) + 1"
 
 
-def month_start(month: Column) -> Column:
+def month_start(month: str) -> str:
     """First day of a ``YYYY-MM`` text."""
-    return F.to_date(F.concat(month, F.lit("-01")))
+    return f"to_date(concat({month}, '-01'))"
 
 
-def month_end(month: Column) -> Column:
-    return F.last_day(month_start(month))
+def month_end(month: str) -> str:
+    return f"last_day({month_start(month)})"
 
 
-def month_label(day: Column) -> Column:
-    return F.date_format(day, "MMM yyyy")
+def month_label(day: str) -> str:
+    return f"date_format({day}, 'MMM yyyy')"
 
 
-def range_label(start: Column, end: Column) -> Column:
-    return F.concat(F.date_format(start, "MMM dd"), F.lit(" - "), F.date_format(end, "MMM dd, yyyy"))
+def range_label(start: str, end: str) -> str:
+    return f"concat(date_format({start}, 'MMM dd'), ' - ', date_format({end}, 'MMM dd, yyyy'))"
 
 
-def relative_periods(today: Column) -> dict[str, Column]:
+def relative_periods(today: str) -> dict[str, str]:
     """Day, week and month periods counted back from a day.
 
     The week ends on the last Sunday strictly before the day.
     """
-    week_end = F.date_sub(today, F.weekday(today) + 1)
-    week_start = F.date_sub(week_end, 6)
-    month = F.to_date(F.trunc(today, "month"))
+    past_week_end = f"weekday({today}) + 1"
     return {
         "day_current": today,
-        "day_previous": F.date_sub(today, 1),
-        "week_current_start": week_start,
-        "week_current_end": week_end,
-        "week_previous_start": F.date_sub(week_start, 7),
-        "week_previous_end": F.date_sub(week_start, 1),
-        "month_current": month,
-        "month_previous": F.to_date(F.add_months(month, -1)),
+        "day_previous": f"date_sub({today}, 1)",
+        "week_current_start": f"date_sub({today}, {past_week_end} + 6)",
+        "week_current_end": f"date_sub({today}, {past_week_end})",
+        "week_previous_start": f"date_sub({today}, {past_week_end} + 13)",
+        "week_previous_end": f"date_sub({today}, {past_week_end} + 7)",
+        "month_current": f"to_date(trunc({today}, 'month'))",
+        "month_previous": f"to_date(add_months(trunc({today}, 'month'), -1))",
     }
 
 
-def report_window(today: Column, days_back: int = 90, lag_days: int = 3) -> dict[str, Column]:
+def report_window(today: str, days_back: int = 90, lag_days: int = 3) -> dict[str, str]:
     return {
-        "report_start_date": F.date_sub(today, days_back),
-        "report_end_date": F.date_sub(today, lag_days),
+        "report_start_date": f"date_sub({today}, {days_back})",
+        "report_end_date": f"date_sub({today}, {lag_days})",
     }

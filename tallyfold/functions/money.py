@@ -1,4 +1,4 @@
-"""Sums, ratios, forecasts and labels of cost columns.
+"""Sums, ratios, forecasts and labels of costs.
 
 Costs are summed as exact decimals and turned into doubles last, so a result does
 not depend on the order in which tasks finish.
@@ -6,114 +6,93 @@ not depend on the order in which tasks finish.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tallyfold.functions.environment import NON_PROD, PROD
-
-MILLION = 1_000_000
-DAYS_PER_YEAR = 365
-
 # Optional sign, digits with an optional point, optional exponent; or a signed infinity.
 # Narrower than a cast to double, which also takes suffixes such as "1d".
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
-def sum_where(condition: Column, value: Column) -> Column:
+def sum_where(condition: str, value: str = "cost") -> str:
     """Sum of ``value`` where the condition holds, zero for the other rows."""
-    return F.sum(F.when(condition, value).otherwise(F.lit(0)))
-
-
-def double(column: Column) -> Column:
-    return column.cast("double")
+    return f"sum(if({condition}, {value}, 0))"
 
 
-def or_zero(column: Column) -> Column:
-    return F.coalesce(column, F.lit(0.0))
+def or_zero(amount: str) -> str:
+    return f"coalesce({amount}, 0D)"
 
 
-def safe_ratio(part: Column, whole: Column) -> Column:
+def safe_ratio(part: str, whole: str) -> str:
     """NULL where the denominator is zero."""
-    return double(part) / F.nullif(double(whole), F.lit(0.0))
+    return f"(double({part}) / nullif(double({whole}), 0D))"
 
 
-def share_percent(part: Column, whole: Column) -> Column:
+def share_percent(part: str, whole: str) -> str:
     """Part of whole in percent, zero unless the whole is positive."""
-    return F.when(whole > 0, double(part) / double(whole) * 100).otherwise(F.lit(0.0))
+    return f"if({whole} > 0, double({part}) / double({whole}) * 100, 0D)"
 
 
-def percent_change(current: Column, previous: Column) -> Column:
+def percent_change(current: str, previous: str) -> str:
     """(current / previous - 1) in percent, zero unless the base is positive."""
-    changed = (double(current) / double(previous) - 1) * 100
-    return or_zero(F.when(previous > 0, changed))
+    return or_zero(f"if({previous} > 0, (double({current}) / double({previous}) - 1) * 100, 0D)")
 
 
-def growth_percent(current: Column, prior: Column) -> Column:
+def growth_percent(current: str, prior: str) -> str:
     """(current - prior) / prior in percent, zero unless the base is positive."""
-    grown = (double(current) - double(prior)) / double(prior) * 100
-    return or_zero(F.when(prior > 0, grown))
+    return or_zero(f"if({prior} > 0, (double({current}) - double({prior})) / double({prior}) * 100, 0D)")
 
 
-def change_direction(change: Column) -> Column:
+def change_direction(change: str) -> str:
     # Class names a report page styles changes by.
-    return (
-        F.when(change > 0, "positive-change")
-        .when(change < 0, "negative-change")
-        .otherwise("neutral-change")
-    )
+    return f"if({change} > 0, 'positive-change', if({change} < 0, 'negative-change', 'neutral-change'))"
 
 
-def run_rate_forecast(total: Column, elapsed_days: Column | int) -> Column:
+def run_rate_forecast(total: str, elapsed_days: int | str) -> str:
     """Full-year cost at the average of the elapsed days; NULL before the first day ends."""
-    days = F.lit(elapsed_days) if isinstance(elapsed_days, int) else elapsed_days
-    return double(total) * DAYS_PER_YEAR / F.nullif(double(days), F.lit(0.0))
+    return f"(double({total}) * 365 / nullif(double({elapsed_days}), 0D))"
 
 
-def run_rate_forecast_at_least_one_day(total: Column, elapsed_days: Column | int) -> Column:
-    days = F.lit(elapsed_days) if isinstance(elapsed_days, int) else elapsed_days
-    return double(total) * DAYS_PER_YEAR / F.greatest(days, F.lit(1))
+def run_rate_forecast_at_least_one_day(total: str, elapsed_days: int | str) -> str:
+    return f"(double({total}) * 365 / greatest({elapsed_days}, 1))"
 
 
-def growth_forecast(average: Column, growth: float = 1.15) -> Column:
-    return average * F.lit(growth)
+def growth_forecast(average: str, growth: float = 1.15) -> str:
+    return f"({average} * {growth}D)"
 
 
-def to_millions(amount: Column) -> Column:
-    return double(amount) / MILLION
+def to_millions(amount: str) -> str:
+    return f"(double({amount}) / 1000000)"
 
 
-def coerce_numeric(text: Column) -> Column:
+def coerce_numeric(text: str) -> str:
     """Number in a text; zero for NULL and for text that is no number."""
-    return or_zero(F.when(text.rlike(_NUMBER), text.try_cast("double")))
+    return or_zero(f"if({text} rlike r'{_NUMBER}', try_cast(trim({text}) as double), 0D)")
 
 
-def total_or_parts(total: Column, prod: Column, nonprod: Column) -> Column:
+def total_or_parts(total: str, prod: str, nonprod: str) -> str:
     """A zero total next to a positive part is replaced by the sum of the parts."""
-    return F.when((total == 0) & ((prod > 0) | (nonprod > 0)), prod + nonprod).otherwise(total)
+    return f"if({total} = 0 and ({prod} > 0 or {nonprod} > 0), {prod} + {nonprod}, {total})"
 
 
-def environment_amounts(environment: Column, amount: Column) -> dict[str, Column]:
+def environment_amounts(environment: str, amount: str) -> dict[str, str]:
     """Production and non-production amounts of a row that carries one environment label."""
     return {
-        "prod_ytd_cost": F.when(environment == PROD, amount).otherwise(F.lit(0)),
-        "nonprod_ytd_cost": F.when(environment == NON_PROD, amount).otherwise(F.lit(0)),
+        "prod_ytd_cost": f"if({environment} = 'PROD', {amount}, 0)",
+        "nonprod_ytd_cost": f"if({environment} = 'NON-PROD', {amount}, 0)",
     }
 
 
-def currency_label(amount: Column) -> Column:
+def currency_label(amount: str) -> str:
     """``$1,234.56``; rounds half up on the decimal before formatting."""
-    return F.concat(F.lit("$"), F.format_number(F.round(amount.cast("decimal(28,4)"), 2), 2))
+    return f"concat('$', format_number(round(cast({amount} as decimal(28,4)), 2), 2))"
 
 
-def bar_label(amount: Column, percent: Column, millions: bool = False) -> Column:
+def bar_label(amount: str, percent: str, millions: bool = False) -> str:
     """``$1234 (56.7%)`` or ``$1.23M (56.7%)``."""
-    digits = 2 if millions else 0
-    exact = amount.cast("decimal(28,4)")
-    shown = F.round((exact / MILLION) if millions else exact, digits)
-    pattern = "$%.2fM (%.1f%%)" if millions else "$%.0f (%.1f%%)"
-    return F.format_string(pattern, double(shown), percent)
+    exact = f"cast({amount} as decimal(28,4))"
+    if millions:
+        return f"format_string('$%.2fM (%.1f%%)', double(round({exact} / 1000000, 2)), {percent})"
+    return f"format_string('$%.0f (%.1f%%)', double(round({exact}, 0)), {percent})"
 
 
-def products_label(amount: Column, products: Column) -> Column:
+def products_label(amount: str, products: str) -> str:
     """``$1,234.56 (7 products)``."""
-    return F.concat(currency_label(amount), F.format_string(" (%d products)", F.coalesce(products, F.lit(0))))
+    return f"concat({currency_label(amount)}, format_string(' (%d products)', coalesce({products}, 0)))"

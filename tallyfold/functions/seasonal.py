@@ -4,46 +4,41 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def weekend_factor(day: Column, factor: float) -> Column:
+def weekend_factor(day: str, factor: float) -> str:
     """``factor`` on Saturday and Sunday, else 1."""
-    return F.when(F.weekday(day) >= 5, F.lit(factor)).otherwise(F.lit(1.0))
+    return f"if(weekday({day}) >= 5, {factor}D, 1D)"
 
 
-def month_end_factor(day: Column, factor: float = 1.2, days: int = 5) -> Column:
+def month_end_factor(day: str, factor: float = 1.2, days: int = 5) -> str:
     """``factor`` on the last days of a month, else 1."""
-    return F.when(F.dayofmonth(day) > F.dayofmonth(F.last_day(day)) - days, F.lit(factor)).otherwise(F.lit(1.0))
+    return f"if(day({day}) > day(last_day({day})) - {days}, {factor}D, 1D)"
 
 
-def linear_growth(day: Column, start: date, rate: float, period_days: int = 365) -> Column:
-    return F.lit(1.0) + F.datediff(day, F.lit(start)) / F.lit(float(period_days)) * F.lit(rate)
+def linear_growth(day: str, start: date, rate: float, period_days: int = 365) -> str:
+    return f"(1D + datediff({day}, date'{start}') / {period_days}D * {rate}D)"
 
 
-def seasonal_cost(base: Column, day: Column, start: date) -> Column:
+def seasonal_cost(base: str, day: str, start: date) -> str:
     """Cost of one fact: base cost with all three effects, to the cent."""
-    modelled = (
-        base.cast("double") * weekend_factor(day, 0.6) * month_end_factor(day) * linear_growth(day, start, 0.12)
-    )
-    return to_cents(modelled)
+    growth = linear_growth(day, start, 0.12)
+    return to_cents(f"double({base}) * {weekend_factor(day, 0.6)} * {month_end_factor(day)} * {growth}")
 
 
-def seasonal_daily_averages(base: Column, day: Column, start: date) -> dict[str, Column]:
+def seasonal_daily_averages(base: str, day: str, start: date) -> dict[str, str]:
     """Columns of the daily-average table modelled from one base daily cost."""
-    level = base.cast("double") * weekend_factor(day, 0.7)
-    ytd = level * 0.97
-    forecast = level * linear_growth(day, start, 0.08, 180)
+    level = f"double({base}) * {weekend_factor(day, 0.7)}"
+    ytd = f"{level} * 0.97D"
+    forecast = f"{level} * {linear_growth(day, start, 0.08, 180)}"
     return {
-        "second_prior_avg": to_cents(level * 0.85),
-        "prior_avg": to_cents(level * 0.92),
+        "second_prior_avg": to_cents(f"{level} * 0.85D"),
+        "prior_avg": to_cents(f"{level} * 0.92D"),
         "ytd_avg": to_cents(ytd),
         "forecasted_avg": to_cents(forecast),
-        "current_avg": to_cents((ytd + forecast) / 2),
-        "daily_cost": to_cents(level * linear_growth(day, start, 0.15)),
+        "current_avg": to_cents(f"({ytd} + {forecast}) / 2"),
+        "daily_cost": to_cents(f"{level} * {linear_growth(day, start, 0.15)}"),
     }
 
 
-def to_cents(amount: Column) -> Column:
-    return F.round(amount.cast("decimal(28,8)"), 2).cast("double")
+def to_cents(amount: str) -> str:
+    return f"double(round(cast({amount} as decimal(28,8)), 2))"

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.functions.environment import NON_PROD, PROD
 from tallyfold.functions.money import (
-    double,
     environment_amounts,
     or_zero,
     run_rate_forecast,
@@ -22,12 +20,6 @@ from tallyfold.plans.dates import ReportDates
 AMOUNTS = ["prod_ytd_cost", "nonprod_ytd_cost", "total_ytd_cost"]
 PRODUCT_KEYS = ["display_id", "product_name", "pillar_team", "product_id", "cto_org"]
 
-
-def product_display_id(pillar: str = "tr_product_pillar_team", product: str = "tr_product_id") -> Column:
-    """``pillar - product``; NULL if either is NULL."""
-    return F.concat(F.col(pillar), F.lit(" - "), F.col(product))
-
-
 # Fact columns a breakdown groups by, under their report names.
 _GROUPINGS = {
     "cto": {"cto_org": "cto"},
@@ -40,40 +32,46 @@ _GROUPINGS = {
     },
 }
 
-
-def _ytd(facts: DataFrame, dates: ReportDates, chosen: CostFilter) -> DataFrame:
-    return between_dates(filter_facts(facts, chosen), dates.ytd)
+# Production and non-production by their exact labels; other labels count only in the total.
+_SUMS = {
+    "prod_ytd_cost": sum_where("environment = 'PROD'"),
+    "nonprod_ytd_cost": sum_where("environment = 'NON-PROD'"),
+    "total_ytd_cost": "sum(cost)",
+}
+_NONPROD_SHARE = share_percent("nonprod_ytd_cost", "total_ytd_cost")
 
 
-def _amounts() -> list[Column]:
-    """Production and non-production by their exact labels; other labels count only in the total."""
-    environment, cost = F.col("environment"), F.col("cost")
-    return [
-        sum_where(environment == PROD, cost).alias("prod_ytd_cost"),
-        sum_where(environment == NON_PROD, cost).alias("nonprod_ytd_cost"),
-        F.sum(cost).alias("total_ytd_cost"),
-    ]
+def product_display_id(pillar: str = "tr_product_pillar_team", product: str = "tr_product_id") -> str:
+    """``pillar - product``; NULL if either is NULL."""
+    return f"concat({pillar}, ' - ', {product})"
 
 
-def _as_doubles() -> list[Column]:
-    return [double(F.col(name)).alias(name) for name in AMOUNTS]
+def _ytd(facts: DataFrame, dates: ReportDates, chosen: CostFilter) -> DataFrame:
+    return between_dates(filter_facts(facts, chosen), dates.ytd)
 
 
-def env_pivot_sums(facts: DataFrame, dates: ReportDates, by: str = "cto", chosen: CostFilter = NO_FILTER) -> DataFrame:
+def env_pivot_sums(
+    facts: DataFrame,
+    dates: ReportDates,
+    by: str = "cto",
+    chosen: CostFilter = NO_FILTER,
+    extra: dict[str, str] | None = None,
+) -> DataFrame:
     """Environment rows turned into production, non-production and total columns per group."""
-    keys = _GROUPINGS[by]
-    grouped = _ytd(facts, dates, chosen).groupBy(*[F.col(column).alias(name) for name, column in keys.items()])
-    return grouped.agg(*_amounts()).select(*keys, *_as_doubles())
+    keys = [F.expr(f"{column} as {name}") for name, column in _GROUPINGS[by].items()]
+    others = [F.expr(f"{value} as {name}") for name, value in (extra or {}).items()]
+    sums = [F.expr(f"double({value}) as {name}") for name, value in _SUMS.items()]
+    return _ytd(facts, dates, chosen).groupBy(*keys).agg(*others, *sums)
 
 
-def _forecast(dates: ReportDates) -> Column:
-    return run_rate_forecast(F.col("total_ytd_cost"), dates.run_rate_days).alias("forecasted_cost")
+def _forecast(dates: ReportDates) -> str:
+    return f"{run_rate_forecast('total_ytd_cost', dates.run_rate_days)} as forecasted_cost"
 
 
 def all_cto_costs(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
-    share = safe_ratio(F.col("nonprod_ytd_cost"), F.col("total_ytd_cost")) * 100
-    return env_pivot_sums(facts, dates, "cto", chosen).select(
-        "cto_org", *AMOUNTS, _forecast(dates), share.alias("nonprod_percentage")
+    share = safe_ratio("nonprod_ytd_cost", "total_ytd_cost")
+    return env_pivot_sums(facts, dates, "cto", chosen).selectExpr(
+        "*", _forecast(dates), f"{share} * 100 as nonprod_percentage"
     )
 
 
@@ -88,14 +86,13 @@ def all_pillar_costs(facts: DataFrame, dates: ReportDates, chosen: CostFilter =
     The distinct count is planned on (pillar, product) first, so a pillar that holds most
     of the facts is spread over its products.
     """
-    grouped = _ytd(facts, dates, chosen).groupBy(F.col("tr_product_pillar_team").alias("pillar_name"))
-    counted = grouped.agg(F.count_distinct("tr_product_id").alias("product_count"), *_amounts())
-    return counted.select("pillar_name", "product_count", *_as_doubles()).select("*", _forecast(dates))
+    counted = env_pivot_sums(facts, dates, "pillar", chosen, {"product_count": "count(distinct tr_product_id)"})
+    return counted.selectExpr("*", _forecast(dates))
 
 
-def with_nonprod_cost(pillars: DataFrame) -> DataFrame:
+def with_nonprod_cost(groups: DataFrame) -> DataFrame:
     """Groups with some non-production cost."""
-    return pillars.filter(F.col("nonprod_ytd_cost") > 0)
+    return groups.filter("nonprod_ytd_cost > 0")
 
 
 def pillar_costs(facts: DataFrame, dates: ReportDates, top_n: int, chosen: CostFilter = NO_FILTER) -> DataFrame:
@@ -105,8 +102,8 @@ def pillar_costs(facts: DataFrame, dates: ReportDates, top_n: int, chosen: CostF
 
 def all_product_costs(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Every product of a pillar and organisation; the display id follows from the other keys."""
-    return env_pivot_sums(facts, dates, "product", chosen).select(
-        product_display_id("pillar_team", "product_id").alias("display_id"),
+    return env_pivot_sums(facts, dates, "product", chosen).selectExpr(
+        f"{product_display_id('pillar_team', 'product_id')} as display_id",
         *PRODUCT_KEYS[1:],
         *AMOUNTS,
         _forecast(dates),
@@ -135,86 +132,80 @@ def chart_order(frame: DataFrame, key: str, limit: int, amount: str = "total_ytd
 
 def with_environment_columns(rows: DataFrame) -> DataFrame:
     """Production and non-production columns for rows of one environment label each."""
-    for name, value in environment_amounts(F.col("environment"), F.col("total_ytd_cost")).items():
-        if name not in rows.columns:
-            rows = rows.withColumn(name, value)
-    return rows
+    amounts = environment_amounts("environment", "total_ytd_cost")
+    missing = [f"{value} as {name}" for name, value in amounts.items() if name not in rows.columns]
+    return rows.selectExpr("*", *missing)
 
 
 def top_rows_then_rollup(rows: DataFrame, top_n: int) -> DataFrame:
     """Take the n largest (product, environment) rows, then one row per product among them."""
     largest = top(with_environment_columns(rows), "total_ytd_cost", top_n, "product_name", "environment")
-    environment = F.col("environment")
+    sums = {
+        "prod_ytd_cost": sum_where("environment = 'PROD'", "prod_ytd_cost"),
+        "nonprod_ytd_cost": sum_where("environment = 'NON-PROD'", "nonprod_ytd_cost"),
+        "total_ytd_cost": "sum(total_ytd_cost)",
+    }
     products = largest.groupBy("product_name").agg(
-        sum_where(environment == PROD, F.col("prod_ytd_cost")).alias("prod_ytd_cost"),
-        sum_where(environment == NON_PROD, F.col("nonprod_ytd_cost")).alias("nonprod_ytd_cost"),
-        F.sum("total_ytd_cost").alias("total_ytd_cost"),
-    )
-    return products.select("product_name", *_as_doubles()).withColumn(
-        "nonprod_percentage", share_percent(F.col("nonprod_ytd_cost"), F.col("total_ytd_cost"))
+        *[F.expr(f"double({value}) as {name}") for name, value in sums.items()]
     )
+    return products.selectExpr("*", f"{_NONPROD_SHARE} as nonprod_percentage")
 
 
 def product_environment_rows(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Year-to-date total per product name and environment label, kept exact."""
-    grouped = _ytd(facts, dates, chosen).groupBy(F.col("tr_product").alias("product_name"), "environment")
-    return grouped.agg(F.sum("cost").alias("total_ytd_cost"))
+    grouped = _ytd(facts, dates, chosen).groupBy(F.expr("tr_product as product_name"), "environment")
+    return grouped.agg(F.expr("sum(cost) as total_ytd_cost"))
 
 
 def stacked_share(breakdown: DataFrame) -> DataFrame:
     """Each environment's part of production plus non-production, in percent to one decimal."""
-    prod, nonprod = F.col("prod_ytd_cost"), F.col("nonprod_ytd_cost")
-
-    def share(part: Column) -> Column:
-        return or_zero(F.round(part / F.nullif(prod + nonprod, F.lit(0.0)) * 100, 1))
-
-    return breakdown.withColumn("prod_share", share(prod)).withColumn("nonprod_share", share(nonprod))
 
+    def share(part: str) -> str:
+        return or_zero(f"round({part} / nullif(prod_ytd_cost + nonprod_ytd_cost, 0D) * 100, 1)")
 
-def _filled(frame: DataFrame) -> DataFrame:
-    for name in AMOUNTS:
-        frame = frame.withColumn(name, or_zero(F.col(name)))
-    return frame
+    return breakdown.selectExpr(
+        "*", f"{share('prod_ytd_cost')} as prod_share", f"{share('nonprod_ytd_cost')} as nonprod_share"
+    )
 
 
 def fill_missing_costs(frame: DataFrame) -> DataFrame:
     """Missing costs become zero; a zero total becomes the sum of its parts."""
-    total = total_or_parts(F.col("total_ytd_cost"), F.col("prod_ytd_cost"), F.col("nonprod_ytd_cost"))
-    return _filled(frame).withColumn("total_ytd_cost", total)
-
-
-def _with_nonprod_share(frame: DataFrame) -> DataFrame:
-    share = share_percent(F.col("nonprod_ytd_cost"), F.col("total_ytd_cost"))
-    return fill_missing_costs(frame).withColumn("nonprod_percentage", share)
+    prod, nonprod, total = (or_zero(name) for name in AMOUNTS)
+    filled = {"prod_ytd_cost": prod, "nonprod_ytd_cost": nonprod, "total_ytd_cost": total_or_parts(total, prod, nonprod)}
+    return frame.selectExpr(*[f"{filled.get(name, name)} as {name}" for name in frame.columns])
 
 
 def breakdown_table_product(products: DataFrame) -> DataFrame:
     """Product rows as the report shows them, under their display ids."""
-    return _with_nonprod_share(products).select(
-        F.col("display_id").alias("product_id"),
+    return fill_missing_costs(products).selectExpr(
+        "display_id as product_id",
         "product_name",
         "pillar_team",
         *AMOUNTS,
         "forecasted_cost",
-        "nonprod_percentage",
+        f"{_NONPROD_SHARE} as nonprod_percentage",
     )
 
 
 def breakdown_table_pillar(pillars: DataFrame) -> DataFrame:
-    return _with_nonprod_share(pillars).select(
-        "pillar_name", "product_count", *AMOUNTS, "forecasted_cost", "nonprod_percentage"
+    return fill_missing_costs(pillars).selectExpr(
+        "pillar_name", "product_count", *AMOUNTS, "forecasted_cost", f"{_NONPROD_SHARE} as nonprod_percentage"
     )
 
 
 def breakdown_table_cto(organisations: DataFrame) -> DataFrame:
-    filled = _filled(organisations).withColumn("nonprod_percentage", or_zero(F.col("nonprod_percentage")))
-    return filled.select("cto_org", *AMOUNTS, "forecasted_cost", "nonprod_percentage")
+    return organisations.selectExpr(
+        "cto_org",
+        *[f"{or_zero(name)} as {name}" for name in AMOUNTS],
+        "forecasted_cost",
+        f"{or_zero('nonprod_percentage')} as nonprod_percentage",
+    )
 
 
 def pillar_to_cto(products: DataFrame) -> DataFrame:
     """One organisation per pillar: that of its last product in a top-n product list."""
-    place = F.struct(F.coalesce(-F.col("prod_ytd_cost"), F.lit(float("inf"))), *PRODUCT_KEYS)
-    return products.groupBy("pillar_team").agg(F.max_by("cto_org", place).alias("cto_org"))
+    place = f"struct(coalesce(-prod_ytd_cost, double('infinity')), {', '.join(PRODUCT_KEYS)})"
+    return products.groupBy("pillar_team").agg(F.expr(f"max_by(cto_org, {place}) as cto_org"))
 
 
 def filter_value_lists(facts: DataFrame) -> DataFrame:
@@ -222,25 +213,17 @@ def filter_value_lists(facts: DataFrame) -> DataFrame:
 
     The facts are reduced to distinct combinations first; the three lists are cut from those.
     """
-    keys = ["cto", "tr_product_pillar_team", "tr_product_id", "tr_product"]
-    combinations = facts.select(keys).distinct()
-    none = F.lit(None).cast("string")
-
-    def entry(kind: str, value: Column, name: Column, pillar: Column, display: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("list_name"),
-            value.alias("value"),
-            name.alias("product_name"),
-            pillar.alias("pillar_team"),
-            display.alias("display"),
-        )
-
-    cto, pillar, product, name = (F.col(key) for key in keys)
-    entries = F.array(
-        entry("cto", cto, none, none, cto),
-        entry("pillar", pillar, none, none, pillar),
-        entry("product", product, name, pillar, product_display_id()),
-    )
-    return combinations.select(F.inline(entries)).filter(F.col("value").isNotNull()).distinct().orderBy(
-        "list_name", "display", "product_name"
-    )
+    combinations = facts.select("cto", "tr_product_pillar_team", "tr_product_id", "tr_product").distinct()
+    none = "cast(null as string)"
+    entries = [
+        ("cto", "cto", none, none, "cto"),
+        ("pillar", "tr_product_pillar_team", none, none, "tr_product_pillar_team"),
+        ("product", "tr_product_id", "tr_product", "tr_product_pillar_team", product_display_id()),
+    ]
+    rows = [
+        f"struct('{kind}' as list_name, {value} as value, {name} as product_name,"
+        f" {pillar} as pillar_team, {display} as display)"
+        for kind, value, name, pillar, display in entries
+    ]
+    listed = combinations.selectExpr(f"inline(array({', '.join(rows)}))").filter("value is not null").distinct()
+    return listed.orderBy("list_name", "display", "product_name")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.money import double
-
 
 def budget_variance(actuals: DataFrame, budgets: DataFrame, fiscal_year: str) -> DataFrame:
     """Variance per environment for one fiscal year's budget: amount, percent, over or under.
@@ -17,16 +15,14 @@ def budget_variance(actuals: DataFrame, budgets: DataFrame, fiscal_year: str) ->
     budget = (
         budgets.filter(F.col("fiscal_year") == F.lit(fiscal_year))
         .groupBy("environment_type")
-        .agg(double(F.sum("budget_amount")).alias("budget_amount"))
+        .agg(F.expr("double(sum(budget_amount)) as budget_amount"))
+    )
+    joined = budget.join(actuals, "environment_type", "left").selectExpr(
+        "environment_type", "budget_amount", "coalesce(total_cost, 0D) as actual_cost"
     )
-    joined = budget.join(actuals, "environment_type", "left")
-    actual = F.coalesce(F.col("total_cost"), F.lit(0.0))
-    variance = actual - F.col("budget_amount")
-    return joined.select(
-        "environment_type",
-        "budget_amount",
-        actual.alias("actual_cost"),
-        variance.alias("variance_amount"),
-        (variance / F.nullif(F.col("budget_amount"), F.lit(0.0)) * 100).alias("variance_percent"),
-        F.when(variance > 0, "over").when(variance < 0, "under").otherwise("on budget").alias("budget_status"),
+    varied = joined.selectExpr("*", "actual_cost - budget_amount as variance_amount")
+    return varied.selectExpr(
+        "*",
+        "variance_amount / nullif(budget_amount, 0D) * 100 as variance_percent",
+        "case sign(variance_amount) when 1 then 'over' when -1 then 'under' else 'on budget' end as budget_status",
     )

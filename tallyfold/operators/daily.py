@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.environment import classify_environment
-from tallyfold.functions.money import double, growth_forecast, or_zero, sum_where
+from tallyfold.functions.money import growth_forecast, or_zero, sum_where
 from tallyfold.operators.filters import NO_FILTER, CostFilter, between_dates, filter_facts
 from tallyfold.plans.dates import DateRange, ReportDates
 
 GROUP = ["environment_type", "cto"]
+_DAILY_COST = "double(round(cost, 2)) as daily_cost"
 
 
 def daily_rollup(
@@ -22,19 +23,15 @@ def daily_rollup(
     everything below needs neither a second scan nor a distinct aggregate.
     """
     kept = between_dates(filter_facts(facts, chosen), span)
-    keys = ["date", classify_environment(mode=mode).alias("environment_type"), "cto"]
-    return kept.groupBy(*keys).agg(F.sum("cost").alias("cost"))
-
-
-def _daily_cost() -> Column:
-    return double(F.round(F.col("cost"), 2)).alias("daily_cost")
+    environment = F.expr(f"{classify_environment(mode=mode)} as environment_type")
+    return kept.groupBy("date", environment, "cto").agg(F.expr("sum(cost) as cost"))
 
 
 def daily_costs(
     facts: DataFrame, span: DateRange, mode: str = "prefix", chosen: CostFilter = NO_FILTER
 ) -> DataFrame:
     """Cost per (date, environment, organisation) to the cent."""
-    return daily_rollup(facts, span, mode, chosen).select("date", *GROUP, _daily_cost())
+    return daily_rollup(facts, span, mode, chosen).selectExpr("date", *GROUP, _DAILY_COST)
 
 
 def _spans(dates: ReportDates) -> dict[str, DateRange]:
@@ -47,23 +44,22 @@ def _spans(dates: ReportDates) -> dict[str, DateRange]:
     }
 
 
-def _days(span: DateRange) -> Column:
-    return F.count(F.when(span.contains(F.col("date")), F.col("date")))
-
-
-def _average(span: DateRange) -> tuple[Column, Column]:
-    """Cost and number of days with cost inside a range, both aggregates of the roll-up."""
-    return sum_where(span.contains(F.col("date")), F.col("cost")), _days(span)
+def _days(span: DateRange) -> str:
+    """Days with cost in a range: an aggregate of the roll-up."""
+    return f"count(if({span.contains()}, date, null))"
 
 
-def _quotient(cost: Column, days: Column) -> Column:
-    return double(cost) / F.nullif(double(days), F.lit(0.0))
+def _average_columns(dates: ReportDates, over: str = "") -> list[str]:
+    """Averages to the cent in table order; the forecast grows the year to date before rounding.
 
-
-def _average_columns(dates: ReportDates, quotients: dict[str, Column]) -> list[Column]:
-    """Averages to the cent in table order; the forecast grows the year to date before rounding."""
-    exact = {**quotients, "forecast": growth_forecast(quotients["ytd"])}
-    return [F.round(exact[role], 2).alias(name) for role, name in dates.average_columns.items()]
+    ``over`` turns the aggregates of the roll-up into window functions.
+    """
+    exact = {
+        role: f"(double({sum_where(span.contains())}{over}) / nullif(double({_days(span)}{over}), 0D))"
+        for role, span in _spans(dates).items()
+    }
+    exact["forecast"] = growth_forecast(exact["ytd"])
+    return [f"round({exact[role]}, 2) as {name}" for role, name in dates.average_columns.items()]
 
 
 def fiscal_year_averages(
@@ -71,18 +67,14 @@ def fiscal_year_averages(
 ) -> DataFrame:
     """Average cost per day with cost, per environment and organisation, for each fiscal-year column."""
     rollup = daily_rollup(facts, dates.average_span, mode, chosen)
-    parts = {role: _average(span) for role, span in _spans(dates).items()}
-    sums = [cost.alias(f"{role}_cost") for role, (cost, _) in parts.items()]
-    days = [count.alias(f"{role}_days") for role, (_, count) in parts.items()]
-    totals = rollup.groupBy(*GROUP).agg(*sums, *days)
-    quotients = {role: _quotient(F.col(f"{role}_cost"), F.col(f"{role}_days")) for role in parts}
-    return totals.select(*GROUP, *_average_columns(dates, quotients))
+    return rollup.groupBy(*GROUP).agg(*[F.expr(column) for column in _average_columns(dates)])
 
 
 def conditional_distinct_days(facts: DataFrame, dates: ReportDates, mode: str = "prefix") -> DataFrame:
     """Number of days with cost per environment and organisation in each fiscal period."""
     rollup = daily_rollup(facts, dates.average_span, mode)
-    return rollup.groupBy(*GROUP).agg(*[_days(span).alias(f"{role}_days") for role, span in _spans(dates).items()])
+    counts = [F.expr(f"{_days(span)} as {role}_days") for role, span in _spans(dates).items()]
+    return rollup.groupBy(*GROUP).agg(*counts)
 
 
 def daily_average_table(
@@ -103,15 +95,11 @@ def daily_average_table(
     """
     rollup = daily_rollup(facts, dates.average_span, mode, chosen)
     if how == "inner":
-        rollup = rollup.filter(F.col("cto").isNotNull())
-    group = Window.partitionBy(*GROUP)
-    quotients = {}
-    for role, span in _spans(dates).items():
-        cost, days = _average(span)
-        quotients[role] = _quotient(cost.over(group), days.over(group))
-    table = rollup.select("date", *GROUP, *_average_columns(dates, quotients), _daily_cost())
+        rollup = rollup.filter("cto is not null")
+    averages = _average_columns(dates, f" over (partition by {', '.join(GROUP)})")
+    table = rollup.selectExpr("date", *GROUP, *averages, _DAILY_COST)
     if how == "inner":
         return table
-    for name in dates.average_columns.values():
-        table = table.withColumn(name, or_zero(F.when(F.col("cto").isNotNull(), F.col(name))))
-    return table
+    names = dates.average_columns.values()
+    filled = [f"{or_zero(f'if(cto is null, null, {name})')} as {name}" for name in names]
+    return table.selectExpr("date", *GROUP, *filled, "daily_cost")

@@ -9,7 +9,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.environment import same_text_ignoring_case
 from tallyfold.plans.dates import DateRange, ReportDates
 
 COMBINATION = ["cto", "tr_product_pillar_team", "tr_product_id"]
@@ -48,7 +47,7 @@ def filter_facts(facts: DataFrame, chosen: CostFilter = NO_FILTER) -> DataFrame:
 
 def combination_exists(facts: DataFrame, chosen: CostFilter) -> DataFrame:
     """One row: does any fact match all chosen values?"""
-    return filter_facts(facts, chosen).agg((F.count(F.lit(1)) > 0).alias("combination_exists"))
+    return filter_facts(facts, chosen).selectExpr("count(*) > 0 as combination_exists")
 
 
 def existing_combinations(requested: DataFrame, facts: DataFrame) -> DataFrame:
@@ -61,28 +60,28 @@ def existing_combinations(requested: DataFrame, facts: DataFrame) -> DataFrame:
     return requested.join(known, COMBINATION, "left_semi")
 
 
-def between_dates(frame: DataFrame, span: DateRange, column: str = "date") -> DataFrame:
-    return frame.filter(span.contains(F.col(column)))
+def between_dates(frame: DataFrame, span: DateRange, day: str = "date") -> DataFrame:
+    return frame.filter(span.contains(day))
 
 
 def on_dates(frame: DataFrame, days: Iterable[date], column: str = "date") -> DataFrame:
     return frame.filter(F.col(column).isin([F.lit(day) for day in days]))
 
 
-def complete_days(frame: DataFrame, dates: ReportDates, column: str = "date") -> DataFrame:
+def complete_days(frame: DataFrame, dates: ReportDates, day: str = "date") -> DataFrame:
     """Drop the last days, whose costs are still coming in."""
-    return frame.filter(F.col(column) <= F.lit(dates.cutoff))
+    return frame.filter(f"{day} <= date'{dates.cutoff}'")
 
 
 def matching_text(frame: DataFrame, column: str, value: str) -> DataFrame:
-    return frame.filter(same_text_ignoring_case(column, value))
+    """Rows whose text equals the value in any case."""
+    return frame.filter(F.upper(column) == F.upper(F.lit(value)))
 
 
 def nonprod_over(frame: DataFrame, threshold: float = 30.0) -> DataFrame:
     """Flag rows whose non-production share lies above the threshold."""
-    over = F.coalesce(F.col("nonprod_percentage") > F.lit(threshold), F.lit(False))
-    return frame.withColumn("over_threshold", over)
+    return frame.selectExpr("*", f"coalesce(nonprod_percentage > {threshold}D, false) as over_threshold")
 
 
 def with_forecast(frame: DataFrame, column: str) -> DataFrame:
-    return frame.filter(F.col(column).isNotNull())
+    return frame.filter(f"{column} is not null")

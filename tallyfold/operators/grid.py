@@ -27,6 +27,6 @@ def calendar_dimension_grid(
 
 def grid_sample(grid: DataFrame, keys: Sequence[str], percent: int = 30) -> DataFrame:
     """Keep about ``percent`` of the rows, always the same ones, chosen by a hash of their keys."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys])
-    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
-    return grid.filter(bucket < percent)
+    text = ", ".join(f"coalesce(cast({key} as string), '')" for key in keys)
+    bucket = f"cast(conv(substring(md5(concat_ws('|', {text})), 1, 8), 16, 10) as bigint) % 100"
+    return grid.filter(f"{bucket} < {percent}")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.environment import CLASSES, NON_PROD, PROD, classify_environment
 from tallyfold.functions.money import (
     change_direction,
-    double,
     growth_percent,
     percent_change,
     share_percent,
@@ -18,14 +17,21 @@ from tallyfold.operators.filters import NO_FILTER, CostFilter, filter_facts
 from tallyfold.plans.dates import Comparison, DateRange, FiscalYear, ReportDates, within
 
 
+def _kept(facts: DataFrame, spans: list[DateRange], chosen: CostFilter) -> DataFrame:
+    return filter_facts(facts, chosen).filter(within(spans))
+
+
+def _aliased(values: dict[str, str]) -> list[str]:
+    return [f"{value} as {name}" for name, value in values.items()]
+
 
 def _sums_by_environment(
-    facts: DataFrame, spans: list[DateRange], sums: dict[str, Column], chosen: CostFilter, mode: str = "exact"
+    facts: DataFrame, spans: list[DateRange], sums: dict[str, str], chosen: CostFilter
 ) -> DataFrame:
-    kept = filter_facts(facts, chosen).filter(within(F.col("date"), spans))
-    grouped = kept.groupBy(classify_environment(mode=mode).alias("environment_type"))
-    totals = grouped.agg(*[value.alias(name) for name, value in sums.items()])
-    return totals.select("environment_type", *[double(F.col(name)).alias(name) for name in sums])
+    """Sums per environment class, as doubles."""
+    environment = F.expr(f"{classify_environment()} as environment_type")
+    exact = [F.expr(f"double({value}) as {name}") for name, value in sums.items()]
+    return _kept(facts, spans, chosen).groupBy(environment).agg(*exact)
 
 
 def ytd_costs(
@@ -33,7 +39,7 @@ def ytd_costs(
 ) -> DataFrame:
     """Cost per environment from the start of a fiscal year to the cut-off."""
     span = dates.ytd_of(year or dates.fiscal_year)
-    return _sums_by_environment(facts, [span], {"ytd_cost": F.sum("cost")}, chosen)
+    return _sums_by_environment(facts, [span], {"ytd_cost": "sum(cost)"}, chosen)
 
 
 def fy_total_costs(
@@ -41,26 +47,17 @@ def fy_total_costs(
 ) -> DataFrame:
     """Booked cost per environment over a whole fiscal year."""
     span = (year or dates.fiscal_year).range
-    return _sums_by_environment(facts, [span], {"total_cost": F.sum("cost")}, chosen)
+    return _sums_by_environment(facts, [span], {"total_cost": "sum(cost)"}, chosen)
 
 
 def prior_fy_costs(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Prior fiscal year per environment: the whole year, and up to a year before today."""
-    sums = {
-        "total_cost": F.sum("cost"),
-        "ytd_cost": sum_where(dates.prior_ytd.contains(F.col("date")), F.col("cost")),
-    }
+    sums = {"total_cost": "sum(cost)", "ytd_cost": sum_where(dates.prior_ytd.contains())}
     return _sums_by_environment(facts, [dates.prior_year.range], sums, chosen)
 
 
-def _compare(
-    facts: DataFrame, pair: Comparison, current: str, previous: str, chosen: CostFilter
-) -> DataFrame:
-    day, cost = F.col("date"), F.col("cost")
-    sums = {
-        current: sum_where(pair.current.contains(day), cost),
-        previous: sum_where(pair.previous.contains(day), cost),
-    }
+def _compare(facts: DataFrame, pair: Comparison, current: str, previous: str, chosen: CostFilter) -> DataFrame:
+    sums = {current: sum_where(pair.current.contains()), previous: sum_where(pair.previous.contains())}
     return _sums_by_environment(facts, [pair.previous, pair.current], sums, chosen)
 
 
@@ -82,47 +79,37 @@ def daily_environment_costs(facts: DataFrame, spans: list[DateRange], chosen: Co
     Every fused report below is computed from these few rows per day: the facts are
     read once and each adds to one sum, however many periods are asked for.
     """
-    kept = filter_facts(facts, chosen).filter(within(F.col("date"), spans))
-    return kept.groupBy("date", classify_environment().alias("environment_type")).agg(F.sum("cost").alias("cost"))
+    environment = F.expr(f"{classify_environment()} as environment_type")
+    return _kept(facts, spans, chosen).groupBy("date", environment).agg(F.expr("sum(cost) as cost"))
 
 
-def _period_pairs(dates: ReportDates) -> list[Comparison]:
-    return [
-        *dates.comparisons,
-        Comparison("ytd", dates.ytd, dates.prior_ytd),
-        Comparison("fiscal_year", dates.fiscal_year.range, dates.prior_year.range),
-    ]
+def _amount(span: DateRange, environment: str) -> str:
+    """Cost of one environment in a range, zero if there is none."""
+    condition = f"{span.contains()} and environment_type = '{environment}'"
+    return f"coalesce(double({sum_where(condition)}), 0D)"
 
 
-def compare_in_one_pass(
-    facts: DataFrame, pairs: list[Comparison], chosen: CostFilter = NO_FILTER
-) -> DataFrame:
+def _with_change(pairs: DataFrame, change: str) -> DataFrame:
+    changed = pairs.selectExpr("*", f"{change} as percent_change")
+    return changed.selectExpr("*", f"{change_direction('percent_change')} as direction")
+
+
+def compare_in_one_pass(facts: DataFrame, pairs: list[Comparison], chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Several period pairs for both environments from one scan, one row per pair and environment.
 
     An environment without facts shows zero costs and no change.
     """
     spans = [span for pair in pairs for span in (pair.current, pair.previous)]
-    daily = daily_environment_costs(facts, spans, chosen)
-
-    def amount(span: DateRange, environment: str) -> Column:
-        matches = span.contains(F.col("date")) & (F.col("environment_type") == environment)
-        return F.coalesce(double(sum_where(matches, F.col("cost"))), F.lit(0.0))
-
     rows = [
-        F.struct(
-            F.lit(pair.name).alias("period"),
-            F.lit(environment).alias("environment_type"),
-            amount(pair.current, environment).alias("current_cost"),
-            amount(pair.previous, environment).alias("previous_cost"),
-        )
+        f"struct('{pair.name}' as period, '{environment}' as environment_type,"
+        f" {_amount(pair.current, environment)} as current_cost,"
+        f" {_amount(pair.previous, environment)} as previous_cost)"
         for pair in pairs
         for environment in CLASSES
     ]
-    long = daily.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
-    changed = percent_change(F.col("current_cost"), F.col("previous_cost"))
-    return long.withColumn("percent_change", changed).withColumn(
-        "direction", change_direction(F.col("percent_change"))
-    )
+    daily = daily_environment_costs(facts, spans, chosen)
+    long = daily.selectExpr(f"array({', '.join(rows)}) as pairs").selectExpr("inline(pairs)")
+    return _with_change(long, percent_change("current_cost", "previous_cost"))
 
 
 def percent_change_comparison(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
@@ -132,126 +119,107 @@ def percent_change_comparison(facts: DataFrame, dates: ReportDates, chosen: Cost
 
 def period_matrix(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Day, week, month, year to date and fiscal year against the one before, per environment."""
-    return compare_in_one_pass(facts, _period_pairs(dates), chosen)
+    pairs = [
+        *dates.comparisons,
+        Comparison("ytd", dates.ytd, dates.prior_ytd),
+        Comparison("fiscal_year", dates.fiscal_year.range, dates.prior_year.range),
+    ]
+    return compare_in_one_pass(facts, pairs, chosen)
 
 
 def _fiscal_summary(facts: DataFrame, dates: ReportDates, chosen: CostFilter) -> DataFrame:
     """One row of year-to-date, full-year and prior year-to-date sums, zero where nothing was booked."""
     spans = {"ytd": dates.ytd, "fy": dates.fiscal_year.range, "prior": dates.prior_ytd}
     daily = daily_environment_costs(facts, list(spans.values()), chosen)
-    names = {PROD: "prod", NON_PROD: "nonprod"}
-    sums = [
-        F.coalesce(
-            double(sum_where(span.contains(F.col("date")) & (F.col("environment_type") == environment), F.col("cost"))),
-            F.lit(0.0),
-        ).alias(f"{names[environment]}_{period}")
+    parts = {
+        f"{name}_{period}": _amount(span, environment)
         for period, span in spans.items()
-        for environment in CLASSES
-    ]
-    summary = daily.agg(*sums)
-    for period in spans:
-        summary = summary.withColumn(f"total_{period}", F.col(f"prod_{period}") + F.col(f"nonprod_{period}"))
-    return summary
+        for name, environment in (("prod", PROD), ("nonprod", NON_PROD))
+    }
+    totals = [f"prod_{period} + nonprod_{period} as total_{period}" for period in spans]
+    return daily.selectExpr(*_aliased(parts)).selectExpr("*", *totals)
 
 
 def grand_totals(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Both environments together: year to date, fiscal year, prior year to date."""
-    return _fiscal_summary(facts, dates, chosen).select(
-        F.col("total_ytd").alias("total_fy_ytd_cost"),
-        F.col("total_fy").alias("total_fy_cost"),
-        F.col("total_prior").alias("total_prior_ytd_cost"),
+    return _fiscal_summary(facts, dates, chosen).selectExpr(
+        "total_ytd as total_fy_ytd_cost", "total_fy as total_fy_cost", "total_prior as total_prior_ytd_cost"
     )
 
 
 def prior_year_join(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Year to date next to the prior year to date, per environment with facts in either."""
-    day, cost = F.col("date"), F.col("cost")
-    sums = {
-        "ytd_cost": sum_where(dates.ytd.contains(day), cost),
-        "prior_ytd_cost": sum_where(dates.prior_ytd.contains(day), cost),
-    }
+    sums = {"ytd_cost": sum_where(dates.ytd.contains()), "prior_ytd_cost": sum_where(dates.prior_ytd.contains())}
     aligned = _sums_by_environment(facts, [dates.ytd, dates.prior_ytd], sums, chosen)
-    return aligned.withColumn("percent_change", growth_percent(F.col("ytd_cost"), F.col("prior_ytd_cost")))
+    return aligned.selectExpr("*", f"{growth_percent('ytd_cost', 'prior_ytd_cost')} as percent_change")
 
 
 def yoy_ytd_change(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Year-to-date change against the prior year: production, non-production, total."""
+    scopes = ((PROD, "prod"), (NON_PROD, "nonprod"), ("TOTAL", "total"))
     rows = [
-        F.struct(
-            F.lit(scope).alias("scope"),
-            F.col(f"{name}_ytd").alias("ytd_cost"),
-            F.col(f"{name}_prior").alias("prior_ytd_cost"),
-        )
-        for scope, name in ((PROD, "prod"), (NON_PROD, "nonprod"), ("TOTAL", "total"))
+        f"struct('{scope}' as scope, {name}_ytd as ytd_cost, {name}_prior as prior_ytd_cost)"
+        for scope, name in scopes
     ]
-    long = _fiscal_summary(facts, dates, chosen).select(F.inline(F.array(*rows)))
-    changed = growth_percent(F.col("ytd_cost"), F.col("prior_ytd_cost"))
-    return long.withColumn("percent_change", changed).withColumn(
-        "direction", change_direction(F.col("percent_change"))
-    )
+    long = _fiscal_summary(facts, dates, chosen).selectExpr(f"inline(array({', '.join(rows)}))")
+    return _with_change(long, growth_percent("ytd_cost", "prior_ytd_cost"))
 
 
 def projected_vs_prior_ytd(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Fiscal-year cost booked so far against the prior year to date."""
-    return _fiscal_summary(facts, dates, chosen).select(
-        F.col("total_fy").alias("total_fy_cost"),
-        F.col("total_prior").alias("total_prior_ytd_cost"),
-        growth_percent(F.col("total_fy"), F.col("total_prior")).alias("fy_percent"),
+    return _fiscal_summary(facts, dates, chosen).selectExpr(
+        "total_fy as total_fy_cost",
+        "total_prior as total_prior_ytd_cost",
+        f"{growth_percent('total_fy', 'total_prior')} as fy_percent",
     )
 
 
-def _nonprod_share(period: str) -> Column:
-    return share_percent(F.col(f"nonprod_{period}"), F.col(f"total_{period}"))
-
-
-def _nonprod_share_change() -> Column:
-    moved = _nonprod_share("ytd") - _nonprod_share("prior")
-    return F.when(F.col("total_prior") > 0, moved).otherwise(F.lit(0.0))
+_SHARE = share_percent("nonprod_ytd", "total_ytd")
+_PRIOR_SHARE = share_percent("nonprod_prior", "total_prior")
+_SHARE_CHANGE = f"if(total_prior > 0, {_SHARE} - {_PRIOR_SHARE}, 0D)"
 
 
 def nonprod_share_change(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """Non-production share of the year to date, a year ago, and the difference in points."""
-    return _fiscal_summary(facts, dates, chosen).select(
-        _nonprod_share("ytd").alias("nonprod_percentage"),
-        _nonprod_share("prior").alias("prior_nonprod_percentage"),
-        _nonprod_share_change().alias("nonprod_percentage_change"),
+    return _fiscal_summary(facts, dates, chosen).selectExpr(
+        f"{_SHARE} as nonprod_percentage",
+        f"{_PRIOR_SHARE} as prior_nonprod_percentage",
+        f"{_SHARE_CHANGE} as nonprod_percentage_change",
     )
 
 
 def environment_breakdown(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """One row: year-to-date cost of both environments, their total and shares in percent."""
-    return _fiscal_summary(facts, dates, chosen).select(
-        F.col("prod_ytd").alias("prod_cost"),
-        F.col("nonprod_ytd").alias("nonprod_cost"),
-        F.col("total_ytd").alias("total_cost"),
-        share_percent(F.col("prod_ytd"), F.col("total_ytd")).alias("prod_percentage"),
-        share_percent(F.col("nonprod_ytd"), F.col("total_ytd")).alias("nonprod_percentage"),
+    return _fiscal_summary(facts, dates, chosen).selectExpr(
+        "prod_ytd as prod_cost",
+        "nonprod_ytd as nonprod_cost",
+        "total_ytd as total_cost",
+        f"{share_percent('prod_ytd', 'total_ytd')} as prod_percentage",
+        f"{_SHARE} as nonprod_percentage",
     )
 
 
 def scorecard(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """One row with every headline figure of the report, from one scan."""
     amounts = {
-        "prod_ytd_cost": F.col("prod_ytd"),
-        "nonprod_ytd_cost": F.col("nonprod_ytd"),
-        "prod_fy_ytd_cost": F.col("prod_ytd"),
-        "nonprod_fy_ytd_cost": F.col("nonprod_ytd"),
-        "total_fy_ytd_cost": F.col("total_ytd"),
-        "prod_prior_cost": F.col("prod_prior"),
-        "nonprod_prior_cost": F.col("nonprod_prior"),
-        "total_prior_ytd_cost": F.col("total_prior"),
-        "total_fy_cost": F.col("total_fy"),
+        "prod_ytd_cost": "prod_ytd",
+        "nonprod_ytd_cost": "nonprod_ytd",
+        "prod_fy_ytd_cost": "prod_ytd",
+        "nonprod_fy_ytd_cost": "nonprod_ytd",
+        "total_fy_ytd_cost": "total_ytd",
+        "prod_prior_cost": "prod_prior",
+        "nonprod_prior_cost": "nonprod_prior",
+        "total_prior_ytd_cost": "total_prior",
+        "total_fy_cost": "total_fy",
+        "nonprod_percentage": _SHARE,
     }
     changes = {
-        "prod_ytd_percent": growth_percent(F.col("prod_ytd"), F.col("prod_prior")),
-        "nonprod_ytd_percent": growth_percent(F.col("nonprod_ytd"), F.col("nonprod_prior")),
-        "fy_ytd_percent": growth_percent(F.col("total_ytd"), F.col("total_prior")),
-        "fy_percent": growth_percent(F.col("total_fy"), F.col("total_prior")),
-        "nonprod_percentage_change": _nonprod_share_change(),
+        "prod_ytd_percent": growth_percent("prod_ytd", "prod_prior"),
+        "nonprod_ytd_percent": growth_percent("nonprod_ytd", "nonprod_prior"),
+        "fy_ytd_percent": growth_percent("total_ytd", "total_prior"),
+        "fy_percent": growth_percent("total_fy", "total_prior"),
+        "nonprod_percentage_change": _SHARE_CHANGE,
     }
-    return _fiscal_summary(facts, dates, chosen).select(
-        *[value.alias(name) for name, value in amounts.items()],
-        _nonprod_share("ytd").alias("nonprod_percentage"),
-        *[value.alias(name) for name, value in changes.items()],
-        *[change_direction(value).alias(f"{name}_class") for name, value in changes.items()],
-    )
+    classes = {f"{name}_class": change_direction(name) for name in changes}
+    figures = _fiscal_summary(facts, dates, chosen).selectExpr(*_aliased(amounts), *_aliased(changes))
+    return figures.selectExpr("*", *_aliased(classes))

@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.environment import NON_PROD, PROD, classify_environment, same_text_ignoring_case
-from tallyfold.functions.money import double, or_zero
+from tallyfold.functions.environment import NON_PROD, PROD, classify_environment
+from tallyfold.functions.money import or_zero
 from tallyfold.operators.daily import daily_costs
 from tallyfold.operators.filters import NO_FILTER, CostFilter, between_dates, filter_facts, with_forecast
 from tallyfold.plans.dates import DateRange, ReportDates
 
+_ENVIRONMENT = f"{classify_environment('environment_type', mode='prefix')} as environment_type"
+
 
 @dataclass(frozen=True)
 class Series:
@@ -48,8 +50,7 @@ def daily_trend(
     ``daily_trend_from_facts``.
     """
     kept = between_dates(filter_facts(averages, chosen), span or dates.ytd)
-    environment = classify_environment("environment_type", mode="prefix").alias("environment_type")
-    return kept.select("date", environment, "daily_cost")
+    return kept.selectExpr("date", _ENVIRONMENT, "daily_cost")
 
 
 def daily_trend_from_facts(
@@ -64,13 +65,13 @@ def daily_trend_from_facts(
 
 def daily_trend_by_env(trend: DataFrame) -> DataFrame:
     """One point per day and environment: the trend summed over organisations."""
-    cents = F.col("daily_cost").cast("decimal(18,2)")
-    return trend.groupBy("date", "environment_type").agg(double(F.sum(cents)).alias("daily_cost"))
+    total = F.expr("double(sum(cast(daily_cost as decimal(18,2)))) as daily_cost")
+    return trend.groupBy("date", "environment_type").agg(total)
 
 
 def trend_order(frame: DataFrame) -> DataFrame:
     """Newest day first, for output; stored tables stay unsorted."""
-    return frame.orderBy(F.col("date").desc(), "environment_type", "cto")
+    return frame.orderBy(F.desc("date"), "environment_type", "cto")
 
 
 def add_missing_environments(trend: DataFrame, defaults: DataFrame) -> DataFrame:
@@ -85,54 +86,52 @@ def env_mean_baseline(trend: DataFrame, prior_factor: float = 0.8) -> DataFrame:
     The means are at most one row per environment class: the key is classified again here, so
     the broadcast side has two rows whatever the labels in the table.
     """
-    labelled = trend.withColumn("environment_type", classify_environment("environment_type", mode="prefix"))
-    cents = F.col("daily_cost").cast("decimal(18,2)")
-    mean = double(F.sum(cents)) / F.count(cents)
-    means = labelled.groupBy("environment_type").agg(mean.alias("current_avg_daily_spend"))
-    joined = labelled.join(F.broadcast(means), "environment_type")
-    return joined.select(
+    labelled = trend.selectExpr("date", _ENVIRONMENT, "daily_cost")
+    mean = "double(sum(cast(daily_cost as decimal(18,2)))) / count(daily_cost)"
+    means = labelled.groupBy("environment_type").agg(F.expr(f"{mean} as current_avg_daily_spend"))
+    return labelled.join(F.broadcast(means), "environment_type").selectExpr(
         "date",
         "environment_type",
         "daily_cost",
         "current_avg_daily_spend",
-        (F.col("current_avg_daily_spend") * prior_factor).alias("prior_avg_daily_spend"),
+        f"current_avg_daily_spend * {prior_factor}D as prior_avg_daily_spend",
     )
 
 
-def _segment(dates: ReportDates) -> Column:
-    return F.when(F.col("date") <= F.lit(dates.cutoff), F.lit("Actual")).otherwise(F.lit("Forecast"))
+def _segment(dates: ReportDates) -> str:
+    return f"if(date <= date'{dates.cutoff}', 'Actual', 'Forecast') as segment"
 
 
 def actual_forecast_split(frame: DataFrame, dates: ReportDates) -> DataFrame:
     """Mark days up to the cut-off as actual, later ones as forecast."""
-    return frame.withColumn("segment", _segment(dates))
+    return frame.selectExpr("*", _segment(dates))
 
 
 def trend_series(averages: DataFrame, series: Sequence[Series], dates: ReportDates) -> DataFrame:
     """Long table (series, segment, date, organisation, value) of the configured lines, in one pass."""
 
     def point(line: Series) -> Column:
-        values = F.struct(
-            F.lit(line.name).alias("series"),
-            or_zero(double(F.col(line.column))).alias("value"),
-        )
+        value = F.expr(f"{or_zero(f'double({line.column})')} as value")
+        both = F.struct(F.lit(line.name).alias("series"), value)
         if line.environment is None:
-            return values
-        return F.when(same_text_ignoring_case("environment_type", line.environment), values)
+            return both
+        return F.when(F.upper("environment_type") == F.upper(F.lit(line.environment)), both)
 
-    points = averages.select("date", "cto", F.explode(F.array_compact(F.array(*map(point, series)))).alias("point"))
-    return points.select("point.series", _segment(dates).alias("segment"), "date", "cto", "point.value")
+    points = F.explode(F.array_compact(F.array(*map(point, series)))).alias("point")
+    return averages.select("date", "cto", points).selectExpr(
+        "point.series", _segment(dates), "date", "cto", "point.value"
+    )
 
 
 def forecast_band(averages: DataFrame, dates: ReportDates, width: float = 0.1) -> DataFrame:
     """Forecast daily spend with a band of plus and minus ``width`` around it."""
     forecast = dates.average_columns["forecast"]
-    return with_forecast(averages, forecast).select(
+    return with_forecast(averages, forecast).selectExpr(
         "date",
         "environment_type",
         "cto",
         "daily_cost",
-        F.col(forecast).alias("forecast"),
-        (F.col(forecast) * (1 - width)).alias("forecast_low"),
-        (F.col(forecast) * (1 + width)).alias("forecast_high"),
+        f"{forecast} as forecast",
+        f"{forecast} * {1 - width}D as forecast_low",
+        f"{forecast} * {1 + width}D as forecast_high",
     )

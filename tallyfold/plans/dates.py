@@ -1,7 +1,7 @@
 """Report dates: fiscal years, cut-off, comparison windows.
 
 Everything here is a handful of scalar parameters fixed before a plan is built;
-per-row date logic lives in ``functions.fiscal`` as column expressions.
+per-row date logic lives in ``functions.fiscal`` as SQL expressions.
 """
 
 from __future__ import annotations
@@ -10,10 +10,6 @@ import calendar
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, timedelta
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 DAY = timedelta(days=1)
 
@@ -25,8 +21,9 @@ class DateRange:
     start: date
     end: date
 
-    def contains(self, column: Column) -> Column:
-        return column.between(F.lit(self.start), F.lit(self.end))
+    def contains(self, day: str = "date") -> str:
+        """SQL test whether a date lies in the range."""
+        return f"({day} between date'{self.start}' and date'{self.end}')"
 
     @property
     def days_between(self) -> int:
@@ -45,12 +42,9 @@ def covering(ranges: Iterable[DateRange]) -> list[DateRange]:
     return merged
 
 
-def within(column: Column, ranges: Iterable[DateRange]) -> Column:
-    """Predicate for the union of some ranges, in a form that reaches the file scan."""
-    spans = covering(ranges)
-    if not spans:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [span.contains(column) for span in spans])
+def within(ranges: Iterable[DateRange], day: str = "date") -> str:
+    """SQL test for the union of some ranges, in a form that reaches the file scan."""
+    return " or ".join(span.contains(day) for span in covering(ranges)) or "false"
 
 
 def year_before(day: date) -> date:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,8 +25,8 @@ def report_rollup(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_
     sums. Facts of one hot key are added up before they are shuffled.
     """
     spans = [dates.average_span, *(span for pair in dates.comparisons for span in (pair.current, pair.previous))]
-    kept = filter_facts(facts, chosen).filter(within(F.col("date"), spans))
-    return kept.groupBy(*ROLLUP_KEYS).agg(F.sum("cost").alias("cost"))
+    kept = filter_facts(facts, chosen).filter(within(spans))
+    return kept.groupBy(*ROLLUP_KEYS).agg(F.expr("sum(cost) as cost"))
 
 
 def cost_report(
@@ -61,14 +61,11 @@ def _long_section(name: str, section: DataFrame) -> DataFrame:
     """Rows of one section as (section, item, metric, value); a section without amounts counts its items."""
     amounts = [field.name for field in section.schema.fields if _is_amount(field)]
     keys = [column for column in section.columns if column not in amounts]
-    item = F.concat_ws("|", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys])
-
-    def metric(label: str, value: Column) -> Column:
-        return F.struct(F.lit(label).alias("metric"), value.cast("double").alias("value"))
-
-    metrics = [metric(column, F.col(column)) for column in amounts] or [metric("present", F.lit(1))]
-    return section.select(
-        F.lit(name).alias("section"), item.alias("item"), F.inline(F.array(*metrics))
+    texts = "".join(f", coalesce(cast({key} as string), '')" for key in keys)
+    values = {column: column for column in amounts} or {"present": "1"}
+    metrics = [f"struct('{metric}' as metric, double({value}) as value)" for metric, value in values.items()]
+    return section.selectExpr(
+        f"'{name}' as section", f"concat_ws('|'{texts}) as item", f"inline(array({', '.join(metrics)}))"
     )
 
 

@@ -69,14 +69,11 @@ def replace_table(
 
 def verify_row_count(loaded: DataFrame, expected: DataFrame) -> DataFrame:
     """One row: rows loaded, rows expected, whether they agree."""
-    rows = F.count(F.lit(1))
-    counts = loaded.agg(rows.alias("rows"), F.lit("loaded").alias("side")).unionByName(
-        expected.agg(rows.alias("rows"), F.lit("expected").alias("side"))
-    )
-    sides = {side: F.max(F.when(F.col("side") == side, F.col("rows"))) for side in ("loaded", "expected")}
-    return counts.agg(*[value.alias(f"{side}_rows") for side, value in sides.items()]).withColumn(
-        "row_counts_match", F.col("loaded_rows") == F.col("expected_rows")
+    counts = loaded.selectExpr("count(*) as loaded_rows", "0L as expected_rows").unionByName(
+        expected.selectExpr("0L as loaded_rows", "count(*) as expected_rows")
     )
+    both = counts.selectExpr("sum(loaded_rows) as loaded_rows", "sum(expected_rows) as expected_rows")
+    return both.selectExpr("*", "loaded_rows = expected_rows as row_counts_match")
 
 
 def publish_view(frame: DataFrame, name: str) -> DataFrame:
