@@ -131,7 +131,7 @@ def csv_write(spark, folder):
 def replace_table(spark, folder):
     path = shared.new_folder(spark, "facts")
     tables.replace_table(star_facts(spark, folder, spans=[DATES.prior_year.range]), path)
-    return _as_float(tables.replace_table(star_facts(spark, folder), path, by_month=True))
+    return _as_float(tables.replace_table(star_facts(spark, folder), path, partition="month"))
 
 
 @_query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -16,6 +17,9 @@ _FORMAT = {
     "ignoreTrailingWhiteSpace": "false",
     "dateFormat": "yyyy-MM-dd",
 }
+# An empty field is NULL and a quoted empty field is an empty text. Spark takes both for NULL
+# unless its mark of a NULL is something no field contains.
+_READ = {**_FORMAT, "nullValue": "\u0000"}
 
 
 def csv_write(frame: DataFrame, path: str, header: bool = True) -> None:
@@ -35,7 +39,7 @@ def csv_load_declared(
     ``multi_line`` is needed only for line breaks inside quoted fields; such files cannot be split.
     """
     options = dict(
-        _FORMAT,
+        _READ,
         header=str(header).lower(),
         mode="FAILFAST" if strict else "PERMISSIVE",
         multiLine=str(multi_line).lower(),
@@ -47,7 +51,7 @@ def csv_load_inferred(
     spark: SparkSession, path: str, names: list[str] | None = None, header: bool = False
 ) -> DataFrame:
     """Read with detected column types; ``names`` are given to the columns of a headerless file."""
-    frame = spark.read.options(**_FORMAT, header=str(header).lower(), inferSchema="true").csv(path)
+    frame = spark.read.options(**_READ, header=str(header).lower(), inferSchema="true").csv(path)
     return frame.toDF(*names) if names and len(names) == len(frame.columns) else frame
 
 
@@ -58,5 +62,7 @@ def csv_load_table(spark: SparkSession, path: str, schema: T.StructType, target:
     """
     try:
         return replace_table(csv_load_declared(spark, path, schema), target)
-    except PySparkException:
+    except (PySparkException, Py4JJavaError) as error:
+        if "MALFORMED_RECORD" not in str(error):
+            raise
         return replace_table(csv_load_inferred(spark, path, schema.names), target)

@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+# Folder of a local run without the setting; removed when the process ends.
+_local: list[tempfile.TemporaryDirectory] = []
+
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; on a local master without one, a temporary folder set here."""
+    """The cluster's checkpoint folder; on a local master without one, a temporary folder."""
     root = spark.conf.get(_SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{_SETTING} must name a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="tallyfold-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if not _local:
+        _local.append(tempfile.TemporaryDirectory(prefix="tallyfold-", ignore_cleanup_errors=True))
+    return _local[0].name
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyfold.plans.dates import DateRange, covering, within
 from tallyfold.schemas import COST_FACTS
 
 
@@ -18,8 +19,29 @@ def read_table(spark: SparkSession, source: str, schema: T.StructType | None = N
     return conform_to_schema(table, schema) if schema else table
 
 
-def scan_cost_facts(spark: SparkSession, source: str, schema: T.StructType = COST_FACTS) -> DataFrame:
-    return read_table(spark, source, schema)
+def _months_of(spans: Iterable[DateRange]) -> str:
+    tests = [f"month between '{span.start:%Y-%m}' and '{span.end:%Y-%m}'" for span in covering(spans)]
+    return " or ".join(tests) or "false"
+
+
+def scan_cost_facts(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType = COST_FACTS,
+    spans: Iterable[DateRange] | None = None,
+) -> DataFrame:
+    """Facts of a stored table, limited to some date ranges if given.
+
+    A table partitioned by date is pruned by any test of the date; for one partitioned by month
+    the ranges are also turned into months, so only the files of those months are read.
+    """
+    table = read_table(spark, source)
+    if spans is not None:
+        spans = list(spans)
+        if "month" in table.columns:
+            table = table.filter(_months_of(spans))
+        table = table.filter(within(spans))
+    return conform_to_schema(table, schema)
 
 
 def _conformed(frame: DataFrame, target: T.StructField) -> Column:
@@ -46,24 +68,27 @@ def union_sources(sources: Iterable[DataFrame], schema: T.StructType = COST_FACT
 
 
 def replace_table(
-    frame: DataFrame, path: str, by_month: bool = False, table: str | None = None
+    frame: DataFrame, path: str, partition: str | None = None, table: str | None = None
 ) -> DataFrame:
     """Replace the contents of a table and return it.
 
-    The frame must not read from ``path`` itself. ``by_month`` partitions the files by month of
-    ``date``; the rebalance hint lets Spark split a month that holds far more rows than others.
+    The frame must not read from ``path`` itself. ``partition`` is ``date``, or ``month`` (a text
+    column derived from ``date``) where a day is too little for a file. The rebalance hint brings
+    the rows of a partition together and splits one that holds far more rows than others.
     """
     spark = frame.sparkSession
-    if by_month:
-        frame = frame.withColumn("month", F.date_format("date", "yyyy-MM")).hint("rebalance", "month")
-    writer = frame.write.mode("overwrite")
-    if by_month:
-        writer = writer.partitionBy("month")
+    if partition == "month":
+        frame = frame.withColumn("month", F.expr("date_format(date, 'yyyy-MM')"))
+    if partition:
+        frame = frame.hint("rebalance", partition)
+    writer = frame.write.mode("overwrite").format("parquet")
+    if partition:
+        writer = writer.partitionBy(partition)
     if table is None:
-        writer.parquet(path)
+        writer.save(path)
         return spark.read.parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    writer.option("path", path).format("parquet").saveAsTable(table)
+    writer.option("path", path).saveAsTable(table)
     return spark.table(table)
 
 
