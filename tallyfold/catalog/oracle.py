@@ -117,10 +117,12 @@ product_all as (
 ),
 product_top as (select * from product_all order by {PRODUCT_ORDER} limit 10)"""
 
-PRODUCT_TABLE = f"""select display_id as product_id, product_name, pillar_team, {AMOUNT_NAMES}, forecasted_cost,
+FILLED = ", ".join(f"coalesce({name}, 0) as {name}" for name in AMOUNT_NAMES.split(", "))
+PRODUCT_TABLE = f"""select display_id as product_id, product_name, pillar_team, {FILLED}, forecasted_cost,
   {_share("nonprod_ytd_cost", "total_ytd_cost")} as nonprod_percentage"""
-CTO_TABLE = f"select cto_org, {AMOUNT_NAMES}, forecasted_cost, nonprod_percentage from cto_top"
-PILLAR_TABLE = f"""select pillar_name, product_count, {AMOUNT_NAMES}, forecasted_cost,
+CTO_TABLE = f"""select cto_org, {FILLED}, forecasted_cost,
+  coalesce(nonprod_percentage, 0) as nonprod_percentage from cto_top"""
+PILLAR_TABLE = f"""select pillar_name, product_count, {FILLED}, forecasted_cost,
   {_share("nonprod_ytd_cost", "total_ytd_cost")} as nonprod_percentage from pillar_top"""
 PILLAR_TO_CTO = f"""select pillar_team, cto_org
   from (select *, row_number() over (order by {PRODUCT_ORDER}) as place from product_top)
@@ -140,11 +142,11 @@ environment_rows as (
 SUMMARY = f"""
 parts as (
   select {_sum(f"environment = 'PROD' and {YTD}")} as prod_ytd,
-    {_sum(f"environment <> 'PROD' and {YTD}")} as nonprod_ytd,
+    {_sum(f"environment is distinct from 'PROD' and {YTD}")} as nonprod_ytd,
     {_sum(f"environment = 'PROD' and {FY}")} as prod_fy,
-    {_sum(f"environment <> 'PROD' and {FY}")} as nonprod_fy,
+    {_sum(f"environment is distinct from 'PROD' and {FY}")} as nonprod_fy,
     {_sum(f"environment = 'PROD' and {PRIOR_YTD}")} as prod_prior,
-    {_sum(f"environment <> 'PROD' and {PRIOR_YTD}")} as nonprod_prior
+    {_sum(f"environment is distinct from 'PROD' and {PRIOR_YTD}")} as nonprod_prior
   from facts
 ),
 summary as (
@@ -182,7 +184,7 @@ def _period_pairs(name: str, periods: dict[str, tuple[str, str]]) -> str:
         f"select '{period}' as period, '{label}' as environment_type,"
         f" {_sum(f'{test} and {now}')} as current_cost, {_sum(f'{test} and {before}')} as previous_cost from facts"
         for period, (now, before) in periods.items()
-        for label, test in (("PROD", "environment = 'PROD'"), ("NON-PROD", "environment <> 'PROD'"))
+        for label, test in (("PROD", "environment = 'PROD'"), ("NON-PROD", "environment is distinct from 'PROD'"))
     ]
     change = "case when previous_cost > 0 then (current_cost / previous_cost - 1) * 100 else 0 end"
     return f"""
@@ -250,7 +252,7 @@ SERIES = {
     "FY98 Avg Daily Spend": ("fy98_avg_daily_spend", "PROD"),
 }
 TREND_SERIES = " union all ".join(
-    f"select '{name}' as series, {SEGMENT} as segment, date, cto, {column} as value"
+    f"select '{name}' as series, {SEGMENT} as segment, date, cto, coalesce({column}, 0) as value"
     f" from average_table where environment_type = '{environment}'"
     for name, (column, environment) in SERIES.items()
 )
@@ -261,13 +263,15 @@ TREND_BY_ENV = f"""select date, environment_type, cast(sum(cast(daily_cost as de
 
 
 def _value_lists(where: str) -> str:
-    return f"""select distinct 'cto' as list_name, cto as value, null::varchar as product_name,
+    return f"""select * from (
+  select distinct 'cto' as list_name, cto as value, null::varchar as product_name,
     null::varchar as pillar_team, cto as display from facts where {where}
   union all
   select distinct 'pillar', tr_product_pillar_team, null, null, tr_product_pillar_team from facts where {where}
   union all
   select distinct 'product', tr_product_id, tr_product, tr_product_pillar_team,
-    tr_product_pillar_team || ' - ' || tr_product_id from facts where {where}"""
+    tr_product_pillar_team || ' - ' || tr_product_id from facts where {where}
+  ) where value is not null"""
 
 
 # --- report in long form -----------------------------------------------------------------------
@@ -414,7 +418,7 @@ def oracle_texts() -> dict[str, str]:
         "grid_sample": _with(
             _GRID,
             """select * from grid where cast('0x' || substr(md5(concat_ws('|', cast(date as varchar),
-              tr_product_pillar_team, tr_subpillar_name, environment, cloud)), 1, 8) as bigint) % 100 < 30""",
+              coalesce(tr_product_pillar_team, ''), coalesce(tr_subpillar_name, ''), environment, cloud)), 1, 8) as bigint) % 100 < 30""",
         ),
         "write_report_tables": report,
         "named_query": _with(CTO, "select * from cto_top"),
@@ -467,8 +471,9 @@ def oracle_texts() -> dict[str, str]:
         "fill_missing_costs": _with(
             PRODUCT,
             """select product_name, pillar_team, product_id, cto_org, prod_ytd_cost, nonprod_ytd_cost,
-              case when total_ytd_cost = nonprod_ytd_cost then prod_ytd_cost + nonprod_ytd_cost
-                else total_ytd_cost end as total_ytd_cost from product_all""",
+              case when total_ytd_cost <> nonprod_ytd_cost then total_ytd_cost
+                when prod_ytd_cost > 0 or nonprod_ytd_cost > 0 then prod_ytd_cost + nonprod_ytd_cost
+                else 0 end as total_ytd_cost from product_all""",
         ),
         "env_columns_from_rows": _with(
             ENVIRONMENT_ROWS,
@@ -482,7 +487,9 @@ def oracle_texts() -> dict[str, str]:
         "filter_product": _filtered("tr_product_id = 'P17'"),
         "filter_combined": _filtered("cto = 'ASIA' and tr_product_pillar_team = 'PROMO'"),
         "filter_combination_exists": _with(
-            f"select {_COMBINATION} from facts where {PRIOR_FY} intersect select {_COMBINATION} from facts where {FY}"
+            f"""select * from (
+              select {_COMBINATION} from facts where {PRIOR_FY} intersect select {_COMBINATION} from facts where {FY}
+            ) where cto is not null and tr_product_pillar_team is not null and tr_product_id is not null"""
         ),
         "date_between": _by_day(FY),
         "date_in": _by_day("date in (date '1998-08-03', date '1998-08-02')"),
@@ -574,7 +581,7 @@ def oracle_texts() -> dict[str, str]:
             _days("days", PREFIX, YTD),
             """means as (
               select environment_type,
-                sum(cast(daily_cost as decimal(18,2)))::double / count(*) as mean from days group by 1
+                sum(cast(daily_cost as decimal(18,2)))::double / count(daily_cost) as mean from days group by 1
             )""",
             """select date, environment_type, daily_cost, mean as current_avg_daily_spend,
               mean * 0.8::double as prior_avg_daily_spend from days join means using (environment_type)""",

@@ -152,7 +152,7 @@ def union_sources(spark, folder):
     sources = [
         facts.filter("cloud = 'A'"),
         facts.filter("cloud = 'N'").drop("tr_subpillar_name"),
-        facts.filter("cloud = 'R'").withColumn("cost", F.expr("string(cost)")),
+        facts.filter("cloud is null or cloud not in ('A', 'N')").withColumn("cost", F.expr("string(cost)")),
     ]
     return _as_float(tables.union_sources(sources))
 

@@ -1,6 +1,6 @@
 SELECT IF(environment <=> 'PROD', 'PROD', 'NON-PROD') AS environment_type,
-  CAST(sum(IF(date BETWEEN :current_start AND :current_end, cost, 0)) AS DOUBLE) AS current_cost,
-  CAST(sum(IF(date BETWEEN :previous_start AND :previous_end, cost, 0)) AS DOUBLE) AS previous_cost
+  CAST(sum(IF(date BETWEEN :current_start AND :current_end, cost, 0)) AS DOUBLE) AS this_week_cost,
+  CAST(sum(IF(date BETWEEN :previous_start AND :previous_end, cost, 0)) AS DOUBLE) AS prev_week_cost
 FROM IDENTIFIER(:table)
 WHERE (date BETWEEN :current_start AND :current_end OR date BETWEEN :previous_start AND :previous_end)
   AND (:cto IS NULL OR cto = :cto)

@@ -120,3 +120,11 @@ def test_fused_sums_equal_separate_queries(facts):
     for environment, current, previous in rows_of(periods.month_comparison(table, DATES.comparisons[2])):
         pair = matrix["month", environment]
         assert (pair.current_cost, pair.previous_cost) == (current, previous)
+
+
+def test_costs_may_be_doubles(facts):
+    table = facts(("2025-03-01", "PROD", "1.25"), ("2024-03-01", "PROD", "0.5")).selectExpr(
+        "* except (cost)", "double(cost) as cost"
+    )
+    row = periods.scorecard(table, DATES).first()
+    assert (row.prod_ytd_cost, row.prod_prior_cost, row.prod_ytd_percent) == (1.25, 0.5, 150.0)

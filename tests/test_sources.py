@@ -172,15 +172,22 @@ def test_named_query_equals_operator(spark, table, name, chosen):
     assert rows_of(found) == rows_of(expected)
 
 
-def test_named_period_comparison_and_trend(spark, table):
+COMPARISONS = [periods.day_comparison, periods.week_comparison, periods.month_comparison]
+
+
+@pytest.mark.parametrize(("pair", "operator"), list(zip(DATES.comparisons, COMPARISONS)))
+def test_named_comparison_equals_operator(spark, table, pair, operator):
     table.createOrReplaceTempView("named_facts")
-    week = DATES.comparisons[1]
     found = named.named_query(
-        spark, "period_comparison", "named_facts",
-        current_start=week.current.start, current_end=week.current.end,
-        previous_start=week.previous.start, previous_end=week.previous.end,
+        spark, f"{pair.name}_comparison", "named_facts",
+        current_start=pair.current.start, current_end=pair.current.end,
+        previous_start=pair.previous.start, previous_end=pair.previous.end,
     )
-    assert rows_of(found) == rows_of(periods.week_comparison(table, week))
+    assert found.columns == operator(table, pair).columns
+    assert rows_of(found) == rows_of(operator(table, pair))
+
+
+def test_named_trend(spark, table):
     averages = daily.daily_average_table(table, DATES)
     averages.createOrReplaceTempView("named_averages")
     series = named.named_query(spark, "daily_trend", "named_averages", fy_start=YEAR.start, cutoff=DATES.cutoff)
