@@ -12,9 +12,11 @@ Links are texts with an exact Jaccard similarity of ``threshold`` or more; class
 connect. With 36 bands of 7 a pair at 0.8 shares a band with probability 0.9998.
 
 No group is turned into all its pairs. Copies are one text. In a band each text is compared to the
-first text of the band only. Texts of one band that are in different classes after that are compared
-with each other, since one of them may be linked to another text of the class: pairs arise between
-classes, never inside one.
+head of the band only, a text that shares many bands. Texts of one band that are in different classes after that may still be
+linked through another text. While comparing them all would be many pairs a text, another text of the
+band is compared to those in other classes, and classes grow together; at last all texts of a band
+that are in different classes are compared. So pairs arise between classes, never inside one, and no
+pair that shares a band is left out unless its texts are in one class already.
 
 Defined results: words are what white space parts, in lower case; a text of fewer than five words is
 one shingle; texts without words (and NULL) are copies of each other; documents without an id take
@@ -41,6 +43,7 @@ from tallyfold.sources.shared import stored
 BANDS = 36
 ROWS = 7
 SHINGLE = 5
+HEAD_TURNS = 2
 THRESHOLD = 0.8
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -233,6 +236,47 @@ def _merged(found: DataFrame, more: DataFrame) -> DataFrame:
     return tied.selectExpr("node", "coalesce(last, root) as root")
 
 
+def _with_heads(members: DataFrame) -> DataFrame:
+    """Members of the bands (key, node, n texts in the band) with the head of each band.
+
+    The head is the text that shares most: the sum of n over its bands is largest. Among many edits
+    of one text that is one with few edits, to which most others are similar.
+    """
+    members = stored(members, "dart-members")
+    central = members.groupBy("node").agg(F.expr("sum(n) as shares"))
+    placed = members.join(central, "node")
+    heads = placed.groupBy("key").agg(F.expr("max(struct(shares, node)).node as head"))
+    return members.join(heads, "key").select("key", "node", "head")
+
+
+def _open_bands(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the bands that still hold more than one class."""
+    at = members.join(found, "node", "left").selectExpr("key", "node", "head", "coalesce(root, node) as root")
+    spread = at.groupBy("key").agg(F.expr("min(root) as one"), F.expr("max(root) as two")).filter("one <> two")
+    return stored(at.join(spread.select("key"), "key", "left_semi"), "dart-open-bands")
+
+
+def _pairs_between_classes(apart: DataFrame) -> bool:
+    """Whether comparing all classes of each band is little work: few pairs for each member."""
+    sizes = apart.groupBy("key", "root").agg(F.expr("double(count(*)) as n")).groupBy("key")
+    sums = sizes.agg(F.expr("(sum(n) * sum(n) - sum(n * n)) / 2 as pairs"), F.expr("sum(n) as rows"))
+    pairs, rows = sums.agg(F.expr("coalesce(sum(pairs), 0)"), F.expr("coalesce(sum(rows), 0)")).first()
+    return pairs <= 4 * rows
+
+
+def _from_new_heads(apart: DataFrame, turn: int) -> DataFrame:
+    """Another text of each band against all of the band that are in other classes."""
+    heads = apart.groupBy("key").agg(F.expr(f"min_by(struct(node, root), xxhash64(node, {turn})) as h"))
+    pairs = apart.join(heads, "key").filter("root <> h.root")
+    return pairs.selectExpr("least(node, h.node) as a", "greatest(node, h.node) as b").distinct()
+
+
+def _between_classes(apart: DataFrame) -> DataFrame:
+    """Each two texts of a band that are in different classes; pairs with the band's head are known."""
+    across = apart.alias("x").join(apart.alias("y"), "key").filter("x.root < y.root and x.node <> y.head and y.node <> x.head")
+    return across.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b").distinct()
+
+
 def classes(
     docs: DataFrame, bands: int = BANDS, rows: int = ROWS, threshold: float = THRESHOLD, weighted: bool = False
 ) -> DataFrame:
@@ -246,25 +290,27 @@ def classes(
     signed = texts.mapInArrow(_signed(bands, rows, weighted), "node binary, keys array<bigint>")
     signed = stored(signed.groupBy("node").agg(F.expr("first(keys) as keys")), "dart-signatures")
     banded = signed.selectExpr("node", "explode(keys) as key")
-    shared = banded.groupBy("key").agg(F.expr("min(node) as head"), F.expr("count(*) as n")).filter("n > 1")
-    members = stored(banded.join(shared.drop("n"), "key").select("key", "node", "head"), "dart-bands")
+    sizes = banded.groupBy("key").agg(F.expr("count(*) as n")).filter("n > 1")
+    members = stored(_with_heads(banded.join(sizes, "key")), "dart-bands")
 
     wanted = members.select("node").distinct()
     candidates = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.expr("first(text) as text"))
     sets = stored(candidates.mapInArrow(_shingled, "node binary, elements array<bigint>, counts array<bigint>"), "dart-shingles")
 
-    stars = members.filter("node <> head").selectExpr("head as a", "node as b").distinct()
+    stars = members.filter("node <> head").selectExpr("least(head, node) as a", "greatest(head, node) as b").distinct()
     links = stored(_similar(stars, sets, threshold, weighted), "dart-links")
     found = components(links)
 
-    # Bands that still hold more than one class: compare across classes.
-    at = members.join(found, "node", "left").selectExpr("key", "node", "head", "coalesce(root, node) as root")
-    open_keys = at.groupBy("key").agg(F.expr("min(root) as one"), F.expr("max(root) as two")).filter("one <> two").select("key")
-    apart = stored(at.join(open_keys, "key", "left_semi"), "dart-open-bands")
-    across = apart.alias("x").join(apart.alias("y"), "key").filter("x.root < y.root and x.node <> y.head and y.node <> x.head")
-    across = across.selectExpr("x.node as a", "y.node as b").distinct()
-    more = stored(_similar(across, sets, threshold, weighted), "dart-links")
-    final = found if more.isEmpty() else _merged(found, more)
+    for turn in range(HEAD_TURNS + 1):
+        apart = _open_bands(members, found)
+        few = turn == HEAD_TURNS or _pairs_between_classes(apart)
+        across = _between_classes(apart) if few else _from_new_heads(apart, turn)
+        more = stored(_similar(across, sets, threshold, weighted), "dart-links")
+        if not more.isEmpty():
+            found = stored(_merged(found, more), "dart-classes")
+        if few:
+            break
+    final = found
 
     rows_of = docs.selectExpr("doc_id", _NODE)
     placed = rows_of.join(final, "node", "left").selectExpr("doc_id", "node", "coalesce(root, node) as root")
