@@ -6,12 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import decontamination, line_quality, mixing, near_duplicates, oracle, sharding
+from tallyfold.llm import (
+    co_training,
+    decontamination,
+    language_models,
+    licenses,
+    line_quality,
+    mixing,
+    near_duplicates,
+    oracle,
+    secrets,
+    sharding,
+    token_counts,
+)
 from tallyfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,19 +48,44 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
+def op7_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co_training.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.decontaminated(docs, benchmark).drop("row_hash")
 
 
+def op9_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as good and not toxic."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
+    return language_models.entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.license_matches(docs, licenses.known_notices(docs))
+
+
 def llm_queries() -> dict[str, Query]:
-    return {
-        "op2_mix_sources": op2_mix_sources,
-        "op3_near_duplicates": op3_near_duplicates,
-        "op4_line_quality": op4_line_quality,
-        "op5_shards": op5_shards,
-        "op8_decontamination": op8_decontamination,
-    }
+    found = [
+        op1_token_counts,
+        op2_mix_sources,
+        op3_near_duplicates,
+        op4_line_quality,
+        op5_shards,
+        op6_secrets,
+        op7_co_training,
+        op8_decontamination,
+        op9_entropy_difference,
+        op10_licenses,
+    ]
+    return {query.__name__: query for query in found}
 
 
 def llm_oracles() -> dict[str, str]:
