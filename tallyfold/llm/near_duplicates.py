@@ -12,11 +12,10 @@ Links are texts with an exact Jaccard similarity of ``threshold`` or more; class
 connect. With 36 bands of 7 a pair at 0.8 shares a band with probability 0.9998.
 
 No group is turned into all its pairs. Copies are one text. In a band each text is compared to the
-head of the band only, a text that shares many bands. Texts of one band that are in different classes after that may still be
-linked through another text. While comparing them all would be many pairs a text, another text of the
-band is compared to those in other classes, and classes grow together; at last all texts of a band
-that are in different classes are compared. So pairs arise between classes, never inside one, and no
-pair that shares a band is left out unless its texts are in one class already.
+head of the band only, a text that shares many bands. Texts of one band that are in different classes
+after that may still be linked through another text: those outside the largest class are compared
+with all of the band, in blocks that return links, not pairs. So no pair that shares a band is left
+out unless its texts are in one class already.
 
 Defined results: words are what white space parts, in lower case; a text of fewer than five words is
 one shingle; texts without words (and NULL) are copies of each other; documents without an id take
@@ -43,7 +42,7 @@ from tallyfold.sources.shared import stored
 BANDS = 36
 ROWS = 7
 SHINGLE = 5
-HEAD_TURNS = 2
+BLOCK = 200_000  # shingles of one side of a block
 THRESHOLD = 0.8
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -187,13 +186,10 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _NODE = "unhex(md5(encode(coalesce(text, ''), 'UTF-8'))) as node"
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, threshold: float, weighted: bool) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose exact similarity is high enough."""
-    left = pairs.join(sets.selectExpr("node as a", "elements as ea", "counts as ca"), "a")
-    both = left.join(sets.selectExpr("node as b", "elements as eb", "counts as cb"), "b")
-    if weighted:
-        # Copies of an element are numbered, so that the multiset becomes a set.
-        both = both.withColumns({e: F.expr(f"flatten(transform({e}, (x, i) -> transform(sequence(1, {c}[i]), n -> xxhash64(x, n))))") for e, c in (("ea", "ca"), ("eb", "cb"))})
+    left = pairs.join(sets.selectExpr("node as a", "elements as ea"), "a")
+    both = left.join(sets.selectExpr("node as b", "elements as eb"), "b")
     common = "size(array_intersect(ea, eb))"
     return both.filter(f"{common} >= {threshold}D * (size(ea) + size(eb) - {common}) - 1e-9D").select("a", "b")
 
@@ -256,25 +252,53 @@ def _open_bands(members: DataFrame, found: DataFrame) -> DataFrame:
     return stored(at.join(spread.select("key"), "key", "left_semi"), "dart-open-bands")
 
 
-def _pairs_between_classes(apart: DataFrame) -> bool:
-    """Whether comparing all classes of each band is little work: few pairs for each member."""
-    sizes = apart.groupBy("key", "root").agg(F.expr("double(count(*)) as n")).groupBy("key")
-    sums = sizes.agg(F.expr("(sum(n) * sum(n) - sum(n * n)) / 2 as pairs"), F.expr("sum(n) as rows"))
-    pairs, rows = sums.agg(F.expr("coalesce(sum(pairs), 0)"), F.expr("coalesce(sum(rows), 0)")).first()
-    return pairs <= 4 * rows
+def _compared(threshold: float):
+    """Links between the query texts and the others of one block, one for each two classes at most per text."""
+
+    def work(block: pa.Table) -> pa.Table:
+        nodes, roots = block.column("node").to_pylist(), np.array(block.column("root").to_pylist(), object)
+        asks = block.column("asks").to_numpy()
+        sets = [np.asarray(x.values) for x in block.column("elements")]
+        mine, other = np.nonzero(asks)[0], np.nonzero(~asks)[0]
+        links: list[tuple[bytes, bytes]] = []
+        if len(mine) and len(other):
+            known = np.unique(np.concatenate([sets[i] for i in mine]))
+            sizes = np.array([len(sets[i]) for i in other])
+            elements = np.concatenate([sets[i] for i in other])
+            at = np.searchsorted(known, elements)
+            at[at == len(known)] = 0
+            present = known[at] == elements if len(known) else np.zeros(len(elements), bool)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            for i in mine:
+                flags = np.zeros(len(known), bool)
+                flags[np.searchsorted(known, sets[i])] = True
+                sums = np.concatenate([[0], np.cumsum(flags[at] & present)])
+                common = sums[ends[1:]] - sums[ends[:-1]]
+                linked = other[common >= threshold * (len(sets[i]) + sizes - common) - 1e-9]
+                linked = linked[roots[linked] != roots[i]]
+                first = {roots[j]: j for j in linked[::-1]}
+                links += [tuple(sorted((nodes[i], nodes[j]))) for j in first.values()]
+        return pa.table({"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())})
 
+    return work
 
-def _from_new_heads(apart: DataFrame, turn: int) -> DataFrame:
-    """Another text of each band against all of the band that are in other classes."""
-    heads = apart.groupBy("key").agg(F.expr(f"min_by(struct(node, root), xxhash64(node, {turn})) as h"))
-    pairs = apart.join(heads, "key").filter("root <> h.root")
-    return pairs.selectExpr("least(node, h.node) as a", "greatest(node, h.node) as b").distinct()
 
+def _links_between_classes(apart: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between texts of a band that are in different classes.
 
-def _between_classes(apart: DataFrame) -> DataFrame:
-    """Each two texts of a band that are in different classes; pairs with the band's head are known."""
-    across = apart.alias("x").join(apart.alias("y"), "key").filter("x.root < y.root and x.node <> y.head and y.node <> x.head")
-    return across.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b").distinct()
+    The texts outside the largest class of the band are a query set against all of the band. Both
+    sides are dealt into chunks of about ``BLOCK`` shingles, and every chunk of one meets every chunk
+    of the other; a link is returned, never a pair.
+    """
+    sized = stored(apart.join(sets, "node").selectExpr("key", "node", "root", "elements", "size(elements) as n"), "dart-open-sets")
+    by_class = sized.groupBy("key", "root").agg(F.expr("count(*) as texts"), F.expr("sum(n) as n"))
+    shape = by_class.groupBy("key").agg(F.expr("max(struct(texts, root, n)) as most"), F.expr("sum(n) as n"))
+    shape = shape.selectExpr("key", "most.root as most", f"int(ceil(n / {BLOCK})) as n_all", f"int(greatest(1, ceil((n - most.n) / {BLOCK}))) as n_ask")
+    told = sized.drop("n").join(shape, "key")
+    others = told.selectExpr("key", "node", "root", "elements", "false as asks", "int(pmod(xxhash64(node), n_all)) as y", "explode(sequence(0, n_ask - 1)) as x")
+    asking = told.filter("root <> most").selectExpr("key", "node", "root", "elements", "true as asks", "int(pmod(xxhash64(node), n_ask)) as x", "explode(sequence(0, n_all - 1)) as y")
+    blocks = others.unionByName(asking).groupBy("key", "x", "y")
+    return blocks.applyInArrow(_compared(threshold), "a binary, b binary").distinct()
 
 
 def classes(
@@ -295,22 +319,17 @@ def classes(
 
     wanted = members.select("node").distinct()
     candidates = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.expr("first(text) as text"))
-    sets = stored(candidates.mapInArrow(_shingled, "node binary, elements array<bigint>, counts array<bigint>"), "dart-shingles")
+    sets = candidates.mapInArrow(_shingled, "node binary, elements array<bigint>, counts array<bigint>")
+    # Weighted: repeats of a shingle are numbered, so that the multiset becomes a set.
+    repeats = "flatten(transform(elements, (x, i) -> transform(sequence(1, int(counts[i])), n -> xxhash64(x, n)))) as elements"
+    sets = stored(sets.selectExpr("node", repeats if weighted else "elements"), "dart-shingles")
 
     stars = members.filter("node <> head").selectExpr("least(head, node) as a", "greatest(head, node) as b").distinct()
-    links = stored(_similar(stars, sets, threshold, weighted), "dart-links")
+    links = stored(_similar(stars, sets, threshold), "dart-links")
     found = components(links)
 
-    for turn in range(HEAD_TURNS + 1):
-        apart = _open_bands(members, found)
-        few = turn == HEAD_TURNS or _pairs_between_classes(apart)
-        across = _between_classes(apart) if few else _from_new_heads(apart, turn)
-        more = stored(_similar(across, sets, threshold, weighted), "dart-links")
-        if not more.isEmpty():
-            found = stored(_merged(found, more), "dart-classes")
-        if few:
-            break
-    final = found
+    more = stored(_links_between_classes(_open_bands(members, found), sets, threshold), "dart-links")
+    final = found if more.isEmpty() else stored(_merged(found, more), "dart-classes")
 
     rows_of = docs.selectExpr("doc_id", _NODE)
     placed = rows_of.join(final, "node", "left").selectExpr("doc_id", "node", "coalesce(root, node) as root")
