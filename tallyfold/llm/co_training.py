@@ -179,7 +179,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int, pool: int):
     """Features of the labelled sample and of the pool, in an order that depends on ids only."""
-    order = "xxhash64(doc_id)"
+    docs, order = docs.select(*_VIEW), "xxhash64(doc_id)"
     best = labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.max(t).cast("int").alias(t) for t in TARGETS])
     chosen = best.selectExpr("*", f"{order} as place").orderBy("place", "doc_id").limit(max_labelled)
     others = docs.select("doc_id").filter("doc_id is not null").distinct().join(best.select("doc_id"), "doc_id", "left_anti")

@@ -165,8 +165,9 @@ def _signed(bands: int, rows: int, weighted: bool):
                 for text in part.column("text"):
                     elements, counts = shingles(text.as_py(), hashes)
                     weights = counts if weighted else np.ones(len(counts))
+                    # Texts without shingles are alike; they share one band of their own.
                     named = dart_minhash(elements, weights, bands * rows) if len(elements) else None
-                    keys.append(np.empty(0, np.int64) if named is None else band_keys(named, bands, rows))
+                    keys.append(np.zeros(1, np.int64) if named is None else band_keys(named, bands, rows))
                 yield pa.RecordBatch.from_arrays([part.column("node"), _arrays(keys)], ["node", "keys"])
 
     return work
