@@ -253,7 +253,7 @@ SERIES = {
 }
 TREND_SERIES = " union all ".join(
     f"select '{name}' as series, {SEGMENT} as segment, date, cto, coalesce({column}, 0) as value"
-    f" from average_table where environment_type = '{environment}'"
+    f" from average_table where environment_type = '{environment}' and {FY}"
     for name, (column, environment) in SERIES.items()
 )
 TREND_BY_ENV = f"""select date, environment_type, cast(sum(cast(daily_cost as decimal(18,2))) as double) as daily_cost
@@ -392,8 +392,24 @@ def _money_labels() -> str:
     )
 
 
+def _chosen(text: str) -> str:
+    """The same text over the facts of one organisation and pillar."""
+    last = "join customer on o_custkey = c_custkey\n"
+    return text.replace(last, f"{last}  where r_name = 'ASIA' and p_type = 'PROMO'\n")
+
+
 def oracle_texts() -> dict[str, str]:
     """SQL per registered query."""
+    texts = _texts()
+    trend = _with(_days("days", PREFIX, YTD), "select date, environment_type, daily_cost from days")
+    return texts | {
+        "filtered_scorecard": _chosen(texts["scorecard"]),
+        "filtered_product_costs": _chosen(texts["product_costs"]),
+        "filtered_daily_trend": _chosen(trend),
+    }
+
+
+def _texts() -> dict[str, str]:
     report = _report()
     month = "cast(month || '-01' as date)"
     return {
@@ -523,6 +539,19 @@ def oracle_texts() -> dict[str, str]:
               union all
               select date, environment_type, cto, daily_cost from prior_days where environment_type = 'NON-PROD'""",
         ),
+        "budget_unplanned": _with(
+            f"""spent as (select environment as environment_type, cast(sum(cost) as double) as spent
+              from facts where {FY} and environment <> 'DEV' group by 1),
+            planned as (select environment as environment_type, cast(sum(cost) as double) * 1.05::double as planned
+              from facts where {PRIOR_FY} and environment <> 'PROD' group by 1),
+            both_sides as (select coalesce(s.environment_type, p.environment_type) as environment_type,
+              coalesce(planned, 0) as budget_amount, coalesce(spent, 0) as actual_cost
+              from spent s full join planned p on s.environment_type = p.environment_type)""",
+            """select environment_type, budget_amount, actual_cost, actual_cost - budget_amount as variance_amount,
+              case when budget_amount <> 0 then (actual_cost - budget_amount) / budget_amount * 100 end as variance_percent,
+              case when actual_cost > budget_amount then 'over' when actual_cost < budget_amount then 'under'
+                else 'on budget' end as budget_status from both_sides""",
+        ),
         "budget_variance": _with(
             f"""actuals as (
               select {EXACT} as environment_type, {_sum(FY)} as actual_cost,

@@ -26,7 +26,7 @@ TOP_N = 10
 THRESHOLD = 30.0
 MODEL_START = DATES.prior_year.start
 ORGANISATION, PILLAR, PRODUCT = "ASIA", "PROMO", "P17"
-CHOSEN = CostFilter(ORGANISATION, PILLAR, PRODUCT)
+CHOSEN = CostFilter(ORGANISATION, PILLAR)
 GRID_ENVIRONMENTS = ("PROD", "NON-PROD")
 GRID_CLOUDS = ("A", "N", "R")
 
@@ -55,6 +55,12 @@ def _by_environment(spark: SparkSession, folder: str, spans: list[DateRange]) ->
     return star_facts(spark, folder, "date", "environment", "cost", spans=spans)
 
 
+def _of_chosen(spark: SparkSession, folder: str, *columns: str, spans: list[DateRange]) -> DataFrame:
+    """Facts of one organisation and pillar."""
+    wanted = dict.fromkeys([*columns, "cto", "tr_product_pillar_team"])
+    return filters.filter_facts(star_facts(spark, folder, *wanted, spans=spans), CHOSEN)
+
+
 def _by_cto(spark: SparkSession, folder: str, spans: list[DateRange] = _YTD) -> DataFrame:
     return star_facts(spark, folder, "date", "environment", "cost", "cto", spans=spans)
 
@@ -475,6 +481,37 @@ def budget_variance(spark, folder):
     return budget.budget_variance(actuals, budgets, str(DATES.fiscal_year.number))
 
 
+@_query
+def budget_unplanned(spark, folder):
+    """One environment has cost without a budget, another a budget without cost."""
+    facts = _by_environment(spark, folder, _PERIODS)
+    totals = "environment as environment_type", "cost"
+    spent = filters.between_dates(facts, DATES.fiscal_year.range).filter("environment <> 'DEV'").selectExpr(*totals)
+    planned = filters.between_dates(facts, DATES.prior_year.range).filter("environment <> 'PROD'").selectExpr(*totals)
+    spent, planned = (f.groupBy("environment_type").agg(F.expr("double(sum(cost)) as total_cost")) for f in (spent, planned))
+    year = str(DATES.fiscal_year.number)
+    budgets = planned.selectExpr("environment_type", "total_cost * 1.05D as budget_amount", f"'{year}' as fiscal_year")
+    return budget.budget_variance(spent, budgets, year)
+
+
+@_query
+def filtered_scorecard(spark, folder):
+    facts = _of_chosen(spark, folder, "date", "environment", "cost", spans=_SUMMARY)
+    return periods.scorecard(facts, DATES)
+
+
+@_query
+def filtered_product_costs(spark, folder):
+    columns = "date", "environment", "cost", "tr_product_id", "tr_product"
+    return breakdowns.product_costs(_of_chosen(spark, folder, *columns, spans=_YTD), DATES, TOP_N)
+
+
+@_query
+def filtered_daily_trend(spark, folder):
+    """The daily trend under a pillar, which the daily-average table does not have."""
+    return trend.daily_trend_from_facts(_of_chosen(spark, folder, "date", "environment", "cost", spans=_YTD), DATES)
+
+
 @_query
 def prior_year_join(spark, folder):
     return periods.prior_year_join(_by_environment(spark, folder, [DATES.ytd, DATES.prior_ytd]), DATES)

@@ -83,13 +83,13 @@ def add_missing_environments(trend: DataFrame, defaults: DataFrame) -> DataFrame
 def env_mean_baseline(trend: DataFrame, prior_factor: float = 0.8) -> DataFrame:
     """Mean daily cost per environment as a constant column, and a fraction of it for the prior year.
 
-    The means are at most one row per environment class: the key is classified again here, so
-    the broadcast side has two rows whatever the labels in the table.
+    A window over the trend, so what it is made from is computed once. The trend is a roll-up: its
+    rows are days and organisations, not facts.
     """
     labelled = trend.selectExpr("date", _ENVIRONMENT, "daily_cost")
-    mean = "double(sum(cast(daily_cost as decimal(18,2)))) / count(daily_cost)"
-    means = labelled.groupBy("environment_type").agg(F.expr(f"{mean} as current_avg_daily_spend"))
-    return labelled.join(F.broadcast(means), "environment_type").selectExpr(
+    each = "over (partition by environment_type)"
+    mean = f"double(sum(cast(daily_cost as decimal(18,2))) {each}) / count(daily_cost) {each}"
+    return labelled.selectExpr("*", f"{mean} as current_avg_daily_spend").selectExpr(
         "date",
         "environment_type",
         "daily_cost",
@@ -107,8 +107,14 @@ def actual_forecast_split(frame: DataFrame, dates: ReportDates) -> DataFrame:
     return frame.selectExpr("*", _segment(dates))
 
 
-def trend_series(averages: DataFrame, series: Sequence[Series], dates: ReportDates) -> DataFrame:
-    """Long table (series, segment, date, organisation, value) of the configured lines, in one pass."""
+def trend_series(
+    averages: DataFrame, series: Sequence[Series], dates: ReportDates, span: DateRange | None = None
+) -> DataFrame:
+    """Long table (series, segment, date, organisation, value) of the configured lines, in one pass.
+
+    Days of the fiscal year are shown unless another range is given; those after the cut-off are
+    the forecast segment.
+    """
 
     def point(line: Series) -> Column:
         value = F.expr(f"{or_zero(f'double({line.column})')} as value")
@@ -118,7 +124,8 @@ def trend_series(averages: DataFrame, series: Sequence[Series], dates: ReportDat
         return F.when(F.upper("environment_type") == F.upper(F.lit(line.environment)), both)
 
     points = F.explode(F.array_compact(F.array(*map(point, series)))).alias("point")
-    return averages.select("date", "cto", points).selectExpr(
+    shown = between_dates(averages, span or dates.fiscal_year.range)
+    return shown.select("date", "cto", points).selectExpr(
         "point.series", _segment(dates), "date", "cto", "point.value"
     )
 

@@ -14,8 +14,11 @@ _local: list[tempfile.TemporaryDirectory] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; on a local master without one, a temporary folder."""
-    root = spark.conf.get(_SETTING, None)
+    """The cluster's checkpoint folder; on a local master without one, a temporary folder.
+
+    A folder given by ``SparkContext.setCheckpointDir`` counts where the setting is absent.
+    """
+    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

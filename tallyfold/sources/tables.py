@@ -50,14 +50,23 @@ def _conformed(frame: DataFrame, target: T.StructField) -> Column:
     column = F.col(target.name)
     if frame.schema[target.name].dataType == target.dataType:
         return column
-    return column.try_cast(target.dataType).alias(target.name)
+    kept = column.try_cast(target.dataType)
+    if isinstance(target.dataType, T.DecimalType):
+        # Text that is no number becomes NULL; a number the type would change or lose is an error.
+        given = column.try_cast("double")
+        lost = given.isNotNull() & (kept.isNull() | (F.abs(kept.cast("double") - given) > F.abs(given) * 1e-9))
+        text = F.concat(column.cast("string"), F.lit(f" does not fit {target.name} {target.dataType.simpleString()}"))
+        kept = F.when(lost, F.raise_error(text).cast(target.dataType)).otherwise(kept)
+    return kept.alias(target.name)
 
 
 def conform_to_schema(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """The declared columns in declared order and type.
 
-    A value that does not fit becomes NULL, as does a column the frame lacks. Columns that
-    already fit are passed through, so filters on them still reach the file scan.
+    Text that cannot be read becomes NULL, as does a column the frame lacks. An amount that a decimal
+    column would round or cannot hold is an error, never a silent loss: take ``COST_FACTS_FLOAT`` or
+    a wider decimal for such facts. Columns that already fit are passed through, so filters on them
+    still reach the file scan.
     """
     return frame.select([_conformed(frame, field) for field in schema.fields])
 

@@ -16,5 +16,5 @@ SELECT pillar_team || ' - ' || product_id AS display_id, product_name, pillar_te
   CAST(total AS DOUBLE) AS total_ytd_cost,
   CAST(total AS DOUBLE) * 365 / nullif(datediff(:cutoff, :fy_start), 0) AS forecasted_cost
 FROM totals
-ORDER BY prod_ytd_cost DESC, display_id, product_name, cto_org
+ORDER BY prod_ytd_cost DESC NULLS LAST, display_id, product_name, pillar_team, product_id, cto_org
 LIMIT :top_n

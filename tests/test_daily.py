@@ -139,3 +139,18 @@ def test_budget_variance(spark):
         ("NON-PROD", 50.0, 0.0, -50.0, -100.0, "under"),
         ("PROD", 100.0, 120.0, 20.0, pytest.approx(20.0), "over"),
     ]
+
+
+def test_budget_keeps_cost_without_a_budget(spark):
+    actuals = spark.createDataFrame([("PROD", 100.0), ("NON-PROD", 50.0)], "environment_type string, total_cost double")
+    budgets = spark.createDataFrame([("PROD", 80.0, "2026")], "environment_type string, budget_amount double, fiscal_year string")
+    assert rows_of(budget.budget_variance(actuals, budgets, "2026")) == [
+        ("NON-PROD", 0.0, 50.0, 50.0, None, "over"),
+        ("PROD", 80.0, 100.0, 20.0, 25.0, "over"),
+    ]
+
+
+def test_series_hold_days_of_their_fiscal_year_only(facts):
+    table = daily.daily_average_table(facts(("2024-01-15", "PROD", 1), ("2024-05-01", "PROD", 2), ("2025-03-01", "PROD", 3)), DATES)
+    found = trend.trend_series(table, trend.default_series(DATES), DATES)
+    assert {str(row.date) for row in found.collect()} == {"2025-03-01"}

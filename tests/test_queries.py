@@ -4,8 +4,10 @@ import pytest
 from compare import difference, duckdb_on, oracle_rows, spark_rows
 
 import __spark_entry__ as entry
+from tallyfold.catalog.oracle import oracle_texts
+from tallyfold.catalog.queries import registered
 
-QUERIES, TEXTS = entry.queries(), entry.oracle_sql()
+QUERIES, TEXTS = registered(), oracle_texts()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def oracle(folder):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(TEXTS)
+    assert QUERIES.items() <= entry.queries().items() and TEXTS.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -139,6 +139,9 @@ class _Session:
     def get(self, key, default=None):
         return self.setting if key == "spark.checkpoint.dir" and self.setting else default
 
+    def getCheckpointDir(self):
+        return None
+
 
 def test_a_cluster_must_name_its_shared_folder():
     assert shared.shared_root(_Session("yarn", "hdfs://h/shared/")) == "hdfs://h/shared"
@@ -231,3 +234,23 @@ def test_report_under_a_filter(table):
 
 def test_budget_schema():
     assert struct_of([("budget_amount", "FLOAT")]).simpleString() == "struct<budget_amount:double>"
+
+
+def test_named_query_refuses_what_it_cannot_apply(spark, table):
+    table.createOrReplaceTempView("named_facts")
+    dates = {"fy_start": YEAR.start, "cutoff": DATES.cutoff}
+    with pytest.raises(ValueError, match="pillar"):
+        named.named_query(spark, "daily_trend", "named_facts", pillar="Data", **dates)
+    with pytest.raises(ValueError, match="top"):
+        named.named_query(spark, "ytd_costs", "named_facts", top=3, **dates)
+    assert named.named_query(spark, "ytd_costs", "named_facts", pillar="", **dates).count() >= 0
+
+
+def test_amounts_that_a_decimal_would_lose_are_errors(spark):
+    for cost in (0.00004, 2e14):
+        facts = spark.createDataFrame([(cost,)] * 3, "cost double")
+        with pytest.raises(Exception, match="does not fit cost"):
+            tables.conform_to_schema(facts, COST_FACTS).collect()
+        kept = tables.conform_to_schema(facts, COST_FACTS_FLOAT).agg({"cost": "sum"}).first()[0]
+        assert kept == pytest.approx(3 * cost)
+    assert tables.conform_to_schema(spark.createDataFrame([("n/a",)], "cost string"), COST_FACTS).first().cost is None
