@@ -7,6 +7,8 @@ year FY99 runs 1998-02-01 to 1999-01-31, FY98 and FY97 lie before it.
 
 from __future__ import annotations
 
+import re
+
 FACTS = """
 facts as (
   select cast(l_shipdate as date) as date, r_name as cto, l_returnflag as cloud,
@@ -394,8 +396,9 @@ def _money_labels() -> str:
 
 def _chosen(text: str) -> str:
     """The same text over the facts of one organisation and pillar."""
-    last = "join customer on o_custkey = c_custkey\n"
-    return text.replace(last, f"{last}  where r_name = 'ASIA' and p_type = 'PROMO'\n")
+    head, tail = text.split(FACTS, 1)
+    view = ", chosen_facts as (select * from facts where cto = 'ASIA' and tr_product_pillar_team = 'PROMO')"
+    return head + FACTS + view + re.sub(r"\bfacts\b", "chosen_facts", tail)
 
 
 def oracle_texts() -> dict[str, str]:
