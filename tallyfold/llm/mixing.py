@@ -40,11 +40,14 @@ _MIDDLE = 512  # words at which a document is half way to the highest inclusion
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES) -> DataFrame:
-    """Per source: size, documents, target. ``sizes`` has source and size; sources are few against documents."""
+    """Per source: size, documents, target. ``sizes`` has source and size; sources are few against documents.
+
+    ``tilted`` is a sum in millionths of words, beyond 64 bits for a corpus of some terabytes.
+    """
     listed = ", ".join(str(weight) for weight in weights)
     tilt = f"size div 1 * 1000000L div (size + {_MIDDLE})"
     sources = sizes.groupBy("source").agg(
-        F.expr("sum(size) as source_size"), F.expr("count(*) as n_docs"), F.expr(f"sum(({tilt}) * size) as tilted")
+        F.expr("sum(size) as source_size"), F.expr("count(*) as n_docs"), F.expr(f"sum(cast(({tilt}) * size as decimal(20, 0))) as tilted")
     )
     order = "row_number() over (order by source asc nulls last)"
     weighed = sources.selectExpr("*", f"array({listed})[({order} - 1) % {len(weights)}] as weight")

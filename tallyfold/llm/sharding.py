@@ -137,7 +137,7 @@ def placed_records(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     it in the same shard end. The part comes from the row's id and, for rows alike, from a number
     that spreads them.
     """
-    cells = rows.withColumn("part", F.expr(f"int(pmod(monotonically_increasing_id() + row_hash, {PARTS}))"))
+    cells = rows.withColumn("part", F.expr(f"int(pmod(xxhash64(monotonically_increasing_id(), row_hash), {PARTS}L))"))
     cells = stored(cells.join(F.broadcast(slot_map.select("virtual_slot", "shard")), "virtual_slot"), "shard-cells")
     counts = cells.groupBy("shard", "virtual_slot", "part").agg(F.expr("count(*) as n"))
     before = "sum(n) over (partition by shard order by virtual_slot, part rows between unbounded preceding and 1 preceding)"
