@@ -288,6 +288,17 @@ def _long(section: str, source: str, keys: list[str], metrics: list[str]) -> str
     )
 
 
+def _bars(section: str, source: str, keys: list[str]) -> str:
+    """Both environments of a breakdown table in percent, and the mark above 30 percent."""
+
+    def share(part: str) -> str:
+        return f"coalesce(round({part} / nullif(prod_ytd_cost + nonprod_ytd_cost, 0) * 100, 1), 0)"
+
+    bars = f"""select *, {share('prod_ytd_cost')} as prod_share, {share('nonprod_ytd_cost')} as nonprod_share,
+      coalesce(nonprod_percentage > 30, false)::int as over_threshold from ({source})"""
+    return _long(section, bars, keys, ["prod_share", "nonprod_share", "over_threshold"])
+
+
 def _report() -> str:
     classes = [f"{name}_class" for name in CHANGES]
     amounts = AMOUNT_NAMES.split(", ")
@@ -309,10 +320,13 @@ def _report() -> str:
               table_metrics),
         _long("organisations", CTO_TABLE, ["cto_org"], table_metrics),
         _long("pillars", PILLAR_TABLE, ["pillar_name"], ["product_count", *table_metrics]),
+        _bars("product_shares", f"{PRODUCT_TABLE} from product_top", ["product_id", "product_name", "pillar_team"]),
+        _bars("organisation_shares", CTO_TABLE, ["cto_org"]),
+        _bars("pillar_shares", PILLAR_TABLE, ["pillar_name"]),
         _long("pillar_to_cto", PILLAR_TO_CTO, ["pillar_team", "cto_org"], []),
         _long("daily_trend", TREND_BY_ENV, ["date", "environment_type"], ["daily_cost"]),
         _long("trend_series", TREND_SERIES, ["series", "segment", "date", "cto"], ["value"]),
-        _long("filter_values", _value_lists(SPAN),
+        _long("filter_values", _value_lists("true"),
               ["list_name", "value", "product_name", "pillar_team", "display"], []),
     ]
     return _with(
@@ -380,16 +394,12 @@ def _seasonal() -> str:
 
 def _money_labels() -> str:
     share = "round(prod_ytd_cost / nullif(prod_ytd_cost + nonprod_ytd_cost, 0) * 100, 1)"
-
-    def rounded(value: str, digits: int) -> str:
-        return f"cast(round(cast({value} as decimal(28,4)), {digits}) as double)"
-
-    dollars = f"'$' || format('{{:,.2f}}', {rounded('prod_ytd_cost', 2)})"
+    dollars = "'$' || format('{:,.2f}', prod_ytd_cost)"
     return _with(
         PILLAR,
         f"""select pillar_name, {dollars} as currency_label,
-        format('${{:.0f}} ({{:.1f}}%)', {rounded("prod_ytd_cost", 0)}, {share}) as bar_label,
-        format('${{:.2f}}M ({{:.1f}}%)', {rounded("prod_ytd_cost / 1000000", 2)}, {share}) as millions_label,
+        format('${{:.0f}} ({{:.1f}}%)', prod_ytd_cost, {share}) as bar_label,
+        format('${{:.2f}}M ({{:.1f}}%)', prod_ytd_cost / 1000000, {share}) as millions_label,
         {dollars} || ' (' || product_count || ' products)' as products_label from pillar_all""",
     )
 
@@ -422,6 +432,11 @@ def _texts() -> dict[str, str]:
         "conform_to_schema": _FACT_ROWS,
         "csv_load_declared": _FACT_ROWS,
         "csv_load_inferred": _FACT_ROWS,
+        "csv_load_table": _with(
+            """select * replace (if(cloud = 'N', null, cast(cost as double)) as cost,
+                '00' || substr(tr_product_id, 2) as tr_product_id), coalesce(cloud <> 'N', true) as known from ("""
+            f"select {ALL_COLUMNS} from facts)"
+        ),
         "csv_write": _with(
             f"select header, date, cloud, {COUNTED} from facts, (select unnest([true, false]) as header) group by all"
         ),

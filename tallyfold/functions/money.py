@@ -81,16 +81,14 @@ def environment_amounts(environment: str, amount: str) -> dict[str, str]:
 
 
 def currency_label(amount: str) -> str:
-    """``$1,234.56``; rounds half up on the decimal before formatting."""
-    return f"concat('$', format_number(round(cast({amount} as decimal(28,4)), 2), 2))"
+    """``$1,234.56``; rounded once, from the exact value of the double, halves to even."""
+    return f"concat('$', format_number(double({amount}), 2))"
 
 
 def bar_label(amount: str, percent: str, millions: bool = False) -> str:
     """``$1234 (56.7%)`` or ``$1.23M (56.7%)``."""
-    exact = f"cast({amount} as decimal(28,4))"
-    if millions:
-        return f"format_string('$%.2fM (%.1f%%)', double(round({exact} / 1000000, 2)), {percent})"
-    return f"format_string('$%.0f (%.1f%%)', double(round({exact}, 0)), {percent})"
+    number = f"format_number({to_millions(amount)}, '0.00')" if millions else f"format_number(double({amount}), '0')"
+    return f"concat('$', {number}, format_string('{'M' if millions else ''} (%.1f%%)', {percent}))"
 
 
 def products_label(amount: str, products: str) -> str:

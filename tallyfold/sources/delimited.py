@@ -5,6 +5,7 @@ from __future__ import annotations
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.sources.tables import replace_table
@@ -50,13 +51,37 @@ def csv_load_declared(
 def csv_load_inferred(
     spark: SparkSession, path: str, names: list[str] | None = None, header: bool = False
 ) -> DataFrame:
-    """Read with detected column types; ``names`` are given to the columns of a headerless file."""
+    """Read with detected column types; ``names`` are given to the columns, as many as the file has."""
     frame = spark.read.options(**_READ, header=str(header).lower(), inferSchema="true").csv(path)
-    return frame.toDF(*names) if names and len(names) == len(frame.columns) else frame
+    if names and len(names) != len(frame.columns):
+        raise ValueError(f"{path} has {len(frame.columns)} columns, not {len(names)}")
+    return frame.toDF(*names) if names else frame
+
+
+def csv_load_fitting(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read headerless CSV, keeping the declared type of every column whose values all fit it.
+
+    A column that does not fit becomes a double if it holds numbers only, else text; declared texts
+    stay texts. One pass over the file finds the types. A record of another width is an error.
+    """
+    texts = T.StructType([T.StructField(field.name, T.StringType()) for field in schema])
+    frame = csv_load_declared(spark, path, texts)
+    kinds = {}
+    for field in schema:
+        if field.dataType != T.StringType():
+            kinds[field.name] = [field.dataType.simpleString(), "double"] if isinstance(field.dataType, T.NumericType) else [field.dataType.simpleString()]
+
+    def fits(name: str, kind: str) -> str:
+        return f"coalesce(bool_and(`{name}` is null or try_cast(`{name}` as {kind}) is not null), true) as `{name} {kind}`"
+
+    tests = [F.expr(fits(name, kind)) for name, some in kinds.items() for kind in some]
+    found = frame.agg(*tests).first().asDict() if tests else {}
+    chosen = {name: next((kind for kind in some if found[f"{name} {kind}"]), "string") for name, some in kinds.items()}
+    return frame.selectExpr(*[f"cast(`{name}` as {chosen.get(name, 'string')}) as `{name}`" for name in schema.names])
 
 
 def csv_load_table(spark: SparkSession, path: str, schema: T.StructType, target: str) -> DataFrame:
-    """Load headerless CSV into a table under the declared schema, or with detected types if it does not fit.
+    """Load headerless CSV into a table under the declared schema, or with other types for the columns that do not fit.
 
     The strict read fails while the table is written, so good files are read only once.
     """
@@ -65,4 +90,4 @@ def csv_load_table(spark: SparkSession, path: str, schema: T.StructType, target:
     except (PySparkException, Py4JJavaError) as error:
         if "MALFORMED_RECORD" not in str(error):
             raise
-        return replace_table(csv_load_inferred(spark, path, schema.names), target)
+        return replace_table(csv_load_fitting(spark, path, schema), target)

@@ -20,7 +20,7 @@ def test_numbers_in_text(spark, text, number):
 
 
 @pytest.mark.parametrize(
-    ("amount", "label"), [(1234.56, "$1,234.56"), (0.0, "$0.00"), (1.005, "$1.01"), (-2.5, "$-2.50"), (1e9, "$1,000,000,000.00")]
+    ("amount", "label"), [(1234.56, "$1,234.56"), (0.0, "$0.00"), (1.005, "$1.00"), (1.00499999, "$1.00"), (1.0051, "$1.01"), (None, None), (-2.5, "$-2.50"), (1e9, "$1,000,000,000.00")]
 )
 def test_currency_labels(spark, amount, label):
     frame = spark.createDataFrame([(amount,)], "a double")
@@ -33,6 +33,8 @@ def test_bar_labels(spark):
         money.bar_label("a", "45.3D"), money.bar_label("a", "45.3D", millions=True), money.products_label("a", "n")
     ).first()
     assert tuple(row) == ("$1234567 (45.3%)", "$1.23M (45.3%)", "$1,234,567.00 (3 products)")
+    near = spark.range(1).selectExpr(money.bar_label("1.5D - 1e-8D", "1D"), money.bar_label("-1234567.8D", "1D"))
+    assert tuple(near.first()) == ("$1 (1.0%)", "$-1234568 (1.0%)")
 
 
 def test_forecasts(spark):

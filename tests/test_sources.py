@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from tallyfold.operators import breakdowns, daily, periods, trend
 from tallyfold.operators.filters import CostFilter
@@ -86,6 +87,18 @@ def test_load_falls_back_to_detected_types(spark, tmp_path, facts):
     assert (loaded.first().cost, loaded.first().date) == ("n/a", date(2025, 3, 1))
 
 
+def test_fallback_keeps_declared_texts_and_refuses_another_width(spark, tmp_path, facts):
+    odd = facts(("2025-03-01", "PROD", 1)).selectExpr("* except (cost)", "'n/a' as cost").withColumn("tr_product_id", F.lit("0012"))
+    delimited.csv_write(odd.select(COST_FACTS.names), f"{tmp_path}/in", header=False)
+    loaded = delimited.csv_load_table(spark, f"{tmp_path}/in", COST_FACTS, f"{tmp_path}/out")
+    assert loaded.first().tr_product_id == "0012"
+    delimited.csv_write(odd.withColumn("more", F.lit(1)), f"{tmp_path}/wide", header=False)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        delimited.csv_load_table(spark, f"{tmp_path}/wide", COST_FACTS, f"{tmp_path}/out")
+    with pytest.raises(ValueError, match="columns"):
+        delimited.csv_load_inferred(spark, f"{tmp_path}/wide", COST_FACTS.names)
+
+
 @pytest.mark.parametrize("partition", [None, "date", "month"])
 def test_replacing_a_table_leaves_only_the_new_rows(spark, tmp_path, table, facts, partition):
     path = f"{tmp_path}/t"
