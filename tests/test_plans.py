@@ -8,6 +8,8 @@ from compare import difference, spark_rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tallyfold.catalog.queries import DATES, registered
+from tallyfold.plans import report
 from tallyfold.sources.star import star_facts
 
 # They write files while they are built, so they have no plan before they run.
@@ -15,7 +17,7 @@ WRITING = {
     "scan_daily_averages", "csv_load_declared", "csv_load_inferred", "csv_load_table", "csv_write", "replace_table",
     "verify_row_count", "write_report_tables", "cost_report",
 }
-LAZY = sorted(set(entry.queries()) - WRITING)
+LAZY = sorted(set(registered()) - WRITING)
 
 
 def plan_of(frame) -> str:
@@ -41,6 +43,17 @@ def test_facts_are_scanned_once(plans, name):
     assert plans[name].count("lineitem.parquet]") == 1
 
 
+def test_grains_of_the_report_are_small_and_scan_the_facts_once(spark, folder):
+    facts = star_facts(spark, folder)
+    days, products = report.costs_per_day(facts, DATES), report.costs_per_product(facts, DATES)
+    for grain in (days, products):
+        assert plan_of(grain).count("lineitem.parquet]") == 1
+    # Copies of the facts add nothing to a grain.
+    twice = facts.unionByName(facts)
+    assert report.costs_per_day(twice, DATES).count() == days.count() <= days.select("date").distinct().count() * 2 * 6
+    assert report.costs_per_product(twice, DATES).count() == products.count()
+
+
 def test_dates_and_columns_reach_the_scan(plans):
     scan = re.search(r"FileScan parquet \[l_orderkey.*", plans["ytd_costs"]).group()
     assert "GreaterThanOrEqual(l_shipdate,1998-02-01T00:00)" in scan
