@@ -1,122 +1,177 @@
 """Cross-entropy difference of two n-gram models.
 
 Method: a target model is trained on chosen documents, a background model on all documents. They are
-matched: one vocabulary (a word is one of ``2^18`` numbers, by its hash), one order (bigrams backed
-by unigrams with a Dirichlet prior), and background counts scaled to the size of the target, so both
-are equally smooth. The score of a document is the mean over its words of the target's loss less the
+matched: one order (bigrams backed by unigrams with a Dirichlet prior, those by a base probability of
+``2^-18`` for every word), and background counts scaled to the size of the target, so both are
+equally smooth. The score of a document is the mean over its words of the target's loss less the
 background's, in nats: negative for a document nearer to the target.
 
-Counts are gathered from every word of every document. A bigram is one of ``2^21`` numbers, so a
-model has a fixed size, whatever the corpus: 2^18 + 2^21 pairs of counts, 37 MB, which is what may be
-broadcast. Different bigrams that meet in one number share its count.
+Counts are exact: one for each different word and each different pair of neighbours, kept as texts,
+so the models grow with the corpus and no two words share a count.
 
 Defined results: words are what white space parts, in lower case; a document without words (or with
 a NULL text) has 0 words and a NULL score; without target documents all scores are 0; a label counts
 for every document with its id, a repeated label once; documents without an id are never targets;
 repeated rows count each time and each get a row. Other columns are ignored.
 
-At scale: each task adds up its documents in arrays of the model's size and passes on the numbers it
-met; these meet in one aggregation on the number, which no frequent word makes uneven, as every task
-brings one row for it. Scoring is one pass without a shuffle. Only the join with the chosen ids moves
-texts, and Spark avoids that where the ids are few.
+At scale: documents are dealt by a hash of their ids into blocks of about ``BLOCK`` characters, at
+least ``MIN_BLOCKS``. A block asks once for each of its different words and pairs, with its own counts.
+These are dealt by a hash into as many buckets, a compressed list for each, where texts are compared
+and the counts of all blocks are added up; the sums go back to the block, which scores its documents
+with them. So the model is never in one place: a task holds the part that one block or bucket needs,
+and a key has at most one entry a block, however frequent it is. Texts are moved once, for both
+passes; rows of one id share a block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyfold.llm.near_duplicates import WordHashes, mixed_bits
+from tallyfold.llm.near_duplicates import mixed_bits
 
 WORDS = 1 << 18
-BIGRAMS = 1 << 21
 PRIOR = 50.0
-
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
-
-def numbers(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the words of a text, and of each word with the one before it (none for the first)."""
-    words = (text or "").lower().split()
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    with np.errstate(over="ignore"):
-        pairs = mixed_bits(mixed_bits(ids[:-1]) + ids[1:] + _GOLDEN) % np.uint64(BIGRAMS)
-    return (ids % np.uint64(WORDS)).astype(np.int64), pairs.astype(np.int64) + WORDS
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's documents: (number, in all documents, in target documents)."""
-    hashes, size = WordHashes(), WORDS + BIGRAMS
-    every, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    for batch in batches:
-        chosen = batch.column("chosen").to_pylist()
-        for text, is_target in zip(batch.column("text"), chosen):
-            words, pairs = numbers(text.as_py(), hashes)
-            for found in (words, pairs):
-                np.add.at(every, found, 1)
-                if is_target:
-                    np.add.at(target, found, 1)
-    met = np.nonzero(every)[0]
-    for start in range(0, len(met), 1 << 16):
-        part = met[start : start + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(every[part]), pa.array(target[part])], ["number", "n_all", "n_target"])
-
-
-def counts(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """(number, n_all, n_target) over all documents; ``target_ids`` has the column doc_id."""
-    ids = target_ids.select(F.col("doc_id").alias("_target")).filter("_target is not null").distinct()
-    marked = docs.select("doc_id", "text").join(ids, F.expr("doc_id = _target"), "left")
-    told = marked.selectExpr("text", "_target is not null as chosen").mapInArrow(_counted, "number bigint, n_all bigint, n_target bigint")
-    return told.groupBy("number").agg(F.expr("sum(n_all) as n_all"), F.expr("sum(n_target) as n_target"))
-
-
-def _matched_models(found: DataFrame) -> dict[str, np.ndarray]:
-    """Counts of both models as arrays of fixed size, the background scaled to the target's size."""
-    table = found.toArrow()
-    at = table.column("number").to_numpy()
-    models = {}
-    for name in ("n_all", "n_target"):
-        models[name] = np.zeros(WORDS + BIGRAMS)
-        models[name][at] = table.column(name).to_numpy()
-    total = {name: model[:WORDS].sum() for name, model in models.items()}
-    if total["n_all"]:
-        models["n_all"] *= total["n_target"] / total["n_all"]
-    return {name: model.astype(np.float32) for name, model in models.items()}
-
-
-def losses(words: np.ndarray, pairs: np.ndarray, model: np.ndarray, total: float, prior: float = PRIOR) -> np.ndarray:
-    """Loss of each word in nats, under a model of ``total`` words: bigrams backed by unigrams, those by the uniform distribution."""
-    own = model[words].astype(float)
+BLOCK = 12_000_000
+MIN_BLOCKS = 16
+
+
+class Numbers(dict):
+    """Number of each word, in the order they are met."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = len(self)
+        return found
+
+
+class Block:
+    """Words and pairs of some texts as places in sorted lists, which do not depend on the order of the texts."""
+
+    def __init__(self, texts: pa.ChunkedArray):
+        numbers, parts = Numbers(), []
+        for text in texts:
+            words = (text.as_py() or "").lower().split()
+            parts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        self.listed = sorted(numbers)
+        place = np.empty(len(numbers), np.int64)
+        place[[numbers[word] for word in self.listed]] = np.arange(len(numbers))
+        self.sizes = np.array([len(part) for part in parts], np.int64)
+        self.words = place[np.concatenate([*parts, np.empty(0, np.int64)])]
+        # Whose words they are; a pair belongs to its second word, so the first of a text has none.
+        self.owner = np.repeat(np.arange(len(parts)), self.sizes)
+        self.second = np.flatnonzero(np.diff(self.owner, prepend=-1) == 0)
+        codes = self.words[self.second - 1] * max(1, len(numbers)) + self.words[self.second]
+        self.codes, self.pairs = np.unique(codes, return_inverse=True)
+        self.before, self.after = np.divmod(self.codes, max(1, len(numbers)))
+
+    def keys(self) -> pa.Array:
+        """One text for all words, one for each word, one for each pair; words hold no white space."""
+        words = pa.array(self.listed, pa.string())
+        pairs = pc.binary_join_element_wise(words.take(pa.array(self.before)), words.take(pa.array(self.after)), " ")
+        return pa.concat_arrays([pa.array([""]), words, pairs])
+
+    def dealt(self, buckets: int) -> list[tuple[int, np.ndarray]]:
+        """Places of the keys in each bucket, by a hash that is the same in every block."""
+        import xxhash
+
+        words = np.array([xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) for word in self.listed], np.uint64)
+        with np.errstate(over="ignore"):
+            pairs = mixed_bits(mixed_bits(words[self.before]) + words[self.after])
+        number = (np.concatenate([np.zeros(1, np.uint64), words, pairs]) % np.uint64(buckets)).astype(np.int64)
+        order, ends = np.argsort(number, kind="stable"), np.cumsum(np.bincount(number, minlength=buckets))
+        return [(bucket, places) for bucket, places in enumerate(np.split(order, ends[:-1])) if len(places)]
+
+    def counts(self, chosen: np.ndarray | None = None) -> np.ndarray:
+        """How often each key occurs, in all texts or in the chosen ones."""
+        words, pairs = self.words, self.pairs
+        if chosen is not None:
+            words, pairs = words[chosen[self.owner]], pairs[chosen[self.owner[self.second]]]
+        found = [np.bincount(words, minlength=len(self.listed)), np.bincount(pairs, minlength=len(self.codes))]
+        return np.concatenate([[len(words)], *found]).astype(np.int64)
+
+
+_ASKED = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("packed", pa.binary())])
+_SCORED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("score", pa.float64())])
+
+
+def _packed(*columns) -> bytes:
+    """Arrays as one compressed Arrow stream."""
+    batch, sink = pa.RecordBatch.from_arrays([pa.array(column) for column in columns], [str(n) for n in range(len(columns))]), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: pa.BinaryScalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data.as_buffer()).read_next_batch()
+
+
+def _asked(number: int, buckets: int, docs: pa.Table, targets: pa.Table) -> pa.Table:
+    """Different keys of a block with its own counts, a list for each bucket."""
+    if not docs.num_rows:
+        return _ASKED.empty_table()
+    block, rows = Block(docs.column("text")), []
+    # A NULL id is in no list of ids.
+    chosen = pc.is_in(docs.column("doc_id"), value_set=targets.column("doc_id").combine_chunks(), skip_nulls=True).to_numpy()
+    keys, n_all, n_target = block.keys(), block.counts(), block.counts(chosen)
+    for bucket, places in block.dealt(buckets):
+        rows.append((bucket, _packed(keys.take(pa.array(places)), n_all[places], n_target[places])))
+    return pa.Table.from_arrays([pa.array(np.full(len(rows), number), pa.int32()), pa.array([row[0] for row in rows], pa.int32()), pa.array([row[1] for row in rows])], schema=_ASKED)
+
+
+def _summed(lists: pa.Table) -> pa.Table:
+    """For each list of a bucket the sums over all lists, in the order of its keys."""
+    batches = [_unpacked(data) for data in lists.column("packed")]
+    keys = pa.chunked_array([batch.column(0) for batch in batches]).combine_chunks().dictionary_encode()
+    at = keys.indices.to_numpy()
+    sums = []
+    for n in (1, 2):
+        total = np.zeros(len(keys.dictionary), np.int64)
+        np.add.at(total, at, np.concatenate([batch.column(n).to_numpy() for batch in batches]))
+        sums.append(total)
+    ends = np.cumsum([batch.num_rows for batch in batches])
+    answers = [_packed(*[total[part] for total in sums]) for part in np.split(at, ends[:-1])]
+    return pa.Table.from_arrays([*[lists.column(name).combine_chunks() for name in ("block", "bucket")], pa.array(answers, pa.binary())], schema=_ASKED)
+
+
+def losses(block: Block, model: np.ndarray, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
+    """Loss in nats of each word at the start of a text, and of the second word of each pair."""
+    total, own, pairs = model[0], model[1 : 1 + len(block.listed)], model[1 + len(block.listed) :]
     single = (own + prior / WORDS) / (total + prior)
-    single[1:] = (model[pairs] + prior * single[1:]) / (own[:-1] + prior)
-    return -np.log(np.minimum(single, 1.0))
-
-
-def _scorer(models):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = WordHashes(), models.value
-        target, background = held["n_target"], held["n_all"]
-        t_words, b_words = (float(model[:WORDS].sum(dtype=float)) for model in (target, background))
-        for batch in batches:
-            scores, sizes = [], []
-            for text in batch.column("text"):
-                words, pairs = numbers(text.as_py(), hashes)
-                sizes.append(len(words))
-                gap = losses(words, pairs, target, t_words) - losses(words, pairs, background, b_words) if len(words) else None
-                scores.append(None if gap is None else float(gap.mean()))
-            arrays = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "score"])
-
-    return work
-
-
-def entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    return -np.log(single), -np.log((pairs + prior * single[block.after]) / (own[block.before] + prior))
+
+
+def _scored(buckets: int, docs: pa.Table, sums: pa.Table) -> pa.Table:
+    if not docs.num_rows:
+        return _SCORED.empty_table()
+    block = Block(docs.column("text"))
+    every, target = np.zeros((2, 1 + len(block.listed) + len(block.codes)))
+    answers = dict(zip(sums.column("bucket").to_pylist(), sums.column("packed")))
+    for bucket, places in block.dealt(buckets):
+        found = _unpacked(answers[bucket])
+        every[places], target[places] = found.column(0).to_numpy(), found.column(1).to_numpy()
+    if every[0]:
+        every *= target[0] / every[0]
+    starts, pairs = (of_target - of_all for of_target, of_all in zip(losses(block, target), losses(block, every)))
+    gaps = starts[block.words]
+    gaps[block.second] = pairs[block.pairs]
+    added = np.bincount(block.owner, gaps, len(block.sizes))
+    scores = pa.array(added / np.maximum(1, block.sizes), mask=block.sizes == 0)
+    return pa.Table.from_arrays([docs.column("doc_id").combine_chunks(), pa.array(block.sizes), scores], schema=_SCORED)
+
+
+def entropy_difference(docs: DataFrame, target_ids: DataFrame, block_size: int = BLOCK) -> DataFrame:
     """One row per document: words, and the target's mean loss less the background's."""
-    models = _matched_models(counts(docs, target_ids))
-    held = docs.sparkSession.sparkContext.broadcast(models)  # fixed size, see above
+    size = docs.selectExpr("coalesce(sum(length(text)), 0L)").first()[0]
+    blocks = max(MIN_BLOCKS, -(-size // block_size))
     narrow = docs.selectExpr("bigint(doc_id) as doc_id", "text")
-    return narrow.mapInArrow(_scorer(held), "doc_id bigint, n_words bigint, score double")
+    block = f"int(pmod(xxhash64({{0}}), {blocks})) as block"
+    dealt = narrow.selectExpr("*", block.format("coalesce(doc_id, xxhash64(text))")).groupBy("block")
+    ids = target_ids.selectExpr("bigint(doc_id) as doc_id").filter("doc_id is not null").distinct()
+    targets = ids.selectExpr("*", block.format("doc_id")).groupBy("block")
+    schema = "block int, bucket int, packed binary"
+    asked = dealt.cogroup(targets).applyInArrow(lambda key, left, right: _asked(key[0].as_py(), blocks, left, right), schema)
+    sums = asked.groupBy("bucket").applyInArrow(_summed, schema).groupBy("block")
+    return dealt.cogroup(sums).applyInArrow(lambda left, right: _scored(blocks, left, right), "doc_id bigint, n_words bigint, score double")

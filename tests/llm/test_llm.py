@@ -332,6 +332,28 @@ def test_scores_equal_those_of_counts_by_hand(spark, odd, none):
     assert language_models.entropy_difference(none, chosen).count() == 0
 
 
+def test_words_share_no_count(spark):
+    """Scores of a vocabulary that would fill a hashed model are those of exact counts."""
+    texts = {i: " ".join(f"v{n}" for n in np.random.default_rng(i).integers(0, 90_000, 20_000)) for i in range(6)}
+    chosen = spark.createDataFrame([(0,), (1,)], "doc_id long")
+    found = {r.doc_id: r.score for r in language_models.entropy_difference(_documents(spark, [(i, t, "s") for i, t in texts.items()]), chosen).collect()}
+    split = {i: t.split() for i, t in texts.items()}
+    prior = language_models.PRIOR
+
+    def counted(some):
+        return Counter(w for i in some for w in split[i]), Counter(p for i in some for p in zip(split[i], split[i][1:]))
+
+    def loss(words, singles, pairs, scale):
+        total, base = scale * sum(singles.values()), prior / language_models.WORDS
+        p = [(scale * singles[w] + base) / (total + prior) for w in words]
+        p[1:] = [(scale * pairs[a, b] + prior * q) / (scale * singles[a] + prior) for a, b, q in zip(words, words[1:], p[1:])]
+        return -np.log(p).mean()
+
+    target, every = counted([0, 1]), counted(texts)
+    for i, words in split.items():
+        assert found[i] == pytest.approx(loss(words, *target, 1) - loss(words, *every, 2 / 6), rel=1e-9)
+
+
 # Licences
 
 
