@@ -9,6 +9,11 @@ each text window around it: 0.9964 for m = 3 and 12 bands. A window that shares
 the notice; then the share of the notice's shingles that stand in the text around the window is
 counted exactly, and ``containment`` or more of them is a match.
 
+A notice with changed words matches as well, if ``changed`` or more of its shingles are left (each
+changed word costs three), among them all with a number in them, which tell versions apart, and one
+that no notice of another licence has. Short notices are listed without the words that lead to
+them ("this program is licensed under"), so those may be any.
+
 Defined results: words are runs of letters and digits, in lower case; a text of fewer than three words
 (or NULL) has no shingles and no matches; notices of fewer than three words are not searched; of
 matches of one notice in a document the first with the highest containment is given; repeated
@@ -30,6 +35,7 @@ from tallyfold.llm.common import let
 BANDS = 12
 WINDOW, STRIDE = 8, 4
 CONTAINMENT = 0.95
+CHANGED = 0.6
 MAX_SHINGLES = 5000
 
 # Customary notices of licences, as projects print them.
@@ -47,6 +53,36 @@ NOTICES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("CC0-1.0", "licensed under CC0 1.0"),
+    ("CC-BY-4.0", "licensed under CC BY 4.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0"),
+    ("CC-BY-SA-4.0", "licensed under CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0"),
+    ("CC-BY-NC-4.0", "licensed under CC BY-NC 4.0"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0"),
+    ("CC-BY-ND-4.0", "licensed under CC BY-ND 4.0"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0"),
+    ("CC-BY-NC-SA-4.0", "licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0"),
+    ("CC-BY-NC-ND-4.0", "licensed under CC BY-NC-ND 4.0"),
+    ("CC-BY-NC-ND-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0"),
+    ("Apache-2.0", "under the Apache License, Version 2.0"),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("MIT", "under the MIT License"),
+    ("GPL-2.0", "under the GNU General Public License, version 2"),
+    ("GPL-2.0", "GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "under the GNU General Public License, version 3"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("BSD-3-Clause", "under the BSD 3-Clause License"),
+    ("BSD-2-Clause", "under the BSD 2-Clause License"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
@@ -55,6 +91,14 @@ _SHINGLES = let(
     "ws", _WORDS, "if(size(ws) < 3, cast(array() as array<bigint>), transform(sequence(0, size(ws) - 3), i -> xxhash64(ws[i], ws[i + 1], ws[i + 2])))"
 )
 
+# Shingles with a word that begins with a digit.
+_NUMBERED = let(
+    "ws",
+    _WORDS,
+    "if(size(ws) < 3, cast(array() as array<bigint>), transform(filter(sequence(0, size(ws) - 3), i -> exists(slice(ws, i + 1, 3), w -> w rlike '^[0-9]')),"
+    " i -> xxhash64(ws[i], ws[i + 1], ws[i + 2])))",
+)
+
 
 def _permutations(bands: int) -> list[int]:
     """Constants of the permutations: multiples of the golden ratio, as signed 64-bit numbers."""
@@ -65,7 +109,8 @@ def _permutations(bands: int) -> list[int]:
 def notice_windows(notices: DataFrame, bands: int = BANDS, max_shingles: int = MAX_SHINGLES):
     """Notices as (number, license_id, shingles), and per band the MinHash values of their windows."""
     named = notices.selectExpr("license_id", "text").filter("text is not null").distinct().orderBy("license_id", "text")
-    found = [row for row in named.selectExpr("license_id", f"{_SHINGLES} as hs").limit(max_shingles + 1).collect() if row.hs]
+    shingled = named.selectExpr("license_id", f"{_SHINGLES} as hs", f"{_NUMBERED} as numbered")
+    found = [row for row in shingled.limit(max_shingles + 1).collect() if row.hs]
     if sum(len(row.hs) for row in found) > max_shingles:
         raise ValueError(f"notices have more than {max_shingles} shingles; search them in parts")
     values: list[dict[int, set[int]]] = []
@@ -87,6 +132,7 @@ def license_matches(
     notices: DataFrame,
     bands: int = BANDS,
     containment: float = CONTAINMENT,
+    changed: float = CHANGED,
     max_shingles: int = MAX_SHINGLES,
 ) -> DataFrame:
     """One row per document and licence: best containment, and the word at which that notice starts."""
@@ -106,14 +152,20 @@ def license_matches(
     spark = docs.sparkSession
     rows = [(band, value, number) for band, of in enumerate(values) for value, numbers in of.items() for number in sorted(numbers)]
     index = spark.createDataFrame(rows, "band int, value bigint, number int")
-    texts = spark.createDataFrame([(n, row.license_id, row.hs) for n, row in enumerate(found)], "number int, license_id string, hs array<bigint>")
+    licences: dict[int, set[str]] = {}
+    for row in found:
+        for h in row.hs:
+            licences.setdefault(h, set()).add(row.license_id)
+    listed = [(n, row.license_id, row.hs, row.numbered, [h for h in row.hs if len(licences[h]) == 1]) for n, row in enumerate(found)]
+    texts = spark.createDataFrame(listed, "number int, license_id string, hs array<bigint>, numbered array<bigint>, own array<bigint>")
     # Both lists are bounded by ``max_shingles``.
     pairs = keyed.join(F.broadcast(index), ["band", "value"]).select("doc_id", "row_hash", "low", "near", "number")
     pairs = pairs.join(F.broadcast(texts), "number")
     share = "size(array_intersect(near, hs)) / double(size(array_distinct(hs)))"
     first = "low + array_min(transform(array_intersect(near, hs), h -> int(array_position(near, h)))) - 1"
-    matched = pairs.selectExpr("doc_id", "row_hash", "license_id", f"{share} as containment", f"int({first}) as first_word")
-    kept = matched.filter(f"containment >= {containment}D")
+    told = "size(array_except(numbered, near)) = 0 and arrays_overlap(own, near)"
+    matched = pairs.selectExpr("doc_id", "row_hash", "license_id", f"{share} as containment", f"int({first}) as first_word", f"{told} as told")
+    kept = matched.filter(f"containment >= {containment}D or (containment >= {changed}D and told)")
     best = kept.groupBy("doc_id", "row_hash", "license_id").agg(F.expr("max(struct(containment, -first_word as back)) as best"))
     return best.selectExpr("doc_id", "license_id", "best.containment", "-best.back as first_word")
 

@@ -379,6 +379,32 @@ def test_licences_as_by_brute_force(spark, odd, none):
     assert licenses.license_matches(docs, nothing).count() == 0
 
 
+def test_licences_in_other_words(spark, odd):
+    """Forms written for this test: other lead-in words, changed words, full grants; and texts that are no notice."""
+    pad = "some words before it "
+    cases = [
+        ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}),
+        ("These photographs are shared under a Creative Commons Attribution-NonCommercial 4.0 International licence", {"CC-BY-NC-4.0"}),
+        ("This program is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
+        ("You may copy the tool under the Apache License, Version 2.0", {"Apache-2.0"}),
+        (
+            "This package is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as"
+            " published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+            {"GPL-3.0"},
+        ),
+        ("Permission is hereby given, free of charge, to any person obtaining a copy of this program and associated documentation files", {"MIT"}),
+        ("Distributed under the BSD 2-Clause License", {"BSD-2-Clause"}),
+        ("This work is licensed under the GNU General Public License, version 9.", set()),
+        ("The committee is free to redistribute and modify the terms of the general public meeting", set()),
+        ("a person obtaining a copy of this letter must be licensed under the law", set()),
+    ]
+    docs = _documents(spark, [(i, pad + text + " " + pad, "s") for i, (text, _) in enumerate(cases)])
+    found = {i: set() for i in range(len(cases))}
+    for row in licenses.license_matches(docs, licenses.known_notices(docs)).collect():
+        found[row.doc_id].add(row.license_id)
+    assert [found[i] for i in range(len(cases))] == [expected for _, expected in cases]
+
+
 # Pipeline
 
 
