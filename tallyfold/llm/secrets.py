@@ -1,9 +1,11 @@
 """Secrets in texts: known shapes, and strings that pass a battery of randomness tests.
 
 Method. Known shapes are assignments to a secret's name, access keys and long hexadecimal strings.
-Further candidates are long strings of letters and digits (with ``+ / _ -``) that hold both. The
-encoding of a candidate is the smallest alphabet it fits (hexadecimal, base 32, base 64), and three tests
-look at its characters as numbers of that alphabet:
+Further candidates are long strings of letters and digits (with ``+ / _ -``) that hold a letter, and
+the long parts of these between ``/ - _``; a part is not reported beside the whole that holds it. The
+encoding of a candidate is the smallest alphabet it fits (hexadecimal in either case, also with
+hyphens; letters of one case; base 32; base 36 of one case; letters; base 64), and three tests look at
+its characters as numbers of that alphabet:
 
 * chi-squared: are all characters of the alphabet equally frequent;
 * runs: do values above and below the middle follow each other as often as chance has it;
@@ -46,10 +48,13 @@ _ASSIGN = r"(?i:(password|passwd|secret|token|api_?key))[\x22\x27]?\x20*[:=]\x20
 _ACCESS = r"AKIA[A-Z0-9]{16,}"
 _HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 _CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+_PART = r"(?<![A-Za-z0-9+])[A-Za-z0-9+]{20,}"
 KINDS = ("assign", "access", "hex", "random")
 
 _HEXADECIMAL = "0123456789abcdef"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
@@ -79,11 +84,18 @@ def _tail(z: str) -> str:
 
 def _battery(text: str, alpha: float, text_repeat: float) -> str:
     """SQL text of the p-value of a candidate under "this is text"; 1 where a test speaks against chance."""
-    alphabet = (
-        f"if({text} rlike '^[0-9a-f]+$', struct('{_HEXADECIMAL}' as a, 16 as k, {HEX_REPEAT}D as r), if({text} rlike '^[A-Z2-7]+$', struct('{_BASE32}' as a, 32 as k, {text_repeat}D as r),"
-        f" struct('{_BASE64}' as a, 64 as k, {text_repeat}D as r)))"
-    )
-    values = f"transform(split(translate({text}, '-_', '+/'), ''), c -> instr(enc.a, c) - 1)"
+    known = [
+        ("^([0-9a-f-]+|[0-9A-F-]+)$", _HEXADECIMAL, f"lower(replace({text}, '-', ''))"),
+        ("^([a-z]+|[A-Z]+)$", _LETTERS[:26], f"lower({text})"),
+        ("^[A-Z2-7]+$", _BASE32, text),
+        ("^([a-z0-9]+|[A-Z0-9]+)$", _BASE36, f"lower({text})"),
+        ("^[A-Za-z]+$", _LETTERS, text),
+        ("", _BASE64, f"translate({text}, '-_', '+/')"),
+    ]
+    repeat = {_HEXADECIMAL: HEX_REPEAT}
+    cases = [f"when {text} rlike '{shape}' then struct('{a}' as a, {len(a)} as k, {repeat.get(a, text_repeat)}D as r, {v} as v)" for shape, a, v in known]
+    alphabet = f"case {' '.join(cases)} end"
+    values = "transform(split(enc.v, ''), c -> instr(enc.a, c) - 1)"
     # Number of equal pairs, from the lengths of runs in sorted order.
     squares = (
         "aggregate(sort_array(xs), struct(-1 as last, 0L as run, 0L as total), (a, x) -> if(x = a.last,"
@@ -116,10 +128,11 @@ def _found(docs: DataFrame, alpha: float, text_repeat: float) -> DataFrame:
     """One row per document: spans of known shapes, candidates with class and step of their p-value."""
     texts = docs.selectExpr("doc_id", "coalesce(text, '') as t")
     assign = let("gs", f"regexp_extract_all(t, r'{_ASSIGN}', 2)", _spans(_ASSIGN, "length(gs[m]) >= 6"))
-    mixed_string = "x rlike '[0-9]' and x rlike '[A-Za-z]'"
+    lettered = "x rlike '[A-Za-z]'"
     step = f"int(least({STEPS}, floor(-ln(greatest(p, 1e-300D)) * {STEP}D)))"
-    tested = let("p", _battery("x", alpha, text_repeat), f"struct(c.s, c.e, int(c.e - c.s >= 32) + int(c.e - c.s >= 64) as class, {step} as step)")
-    candidates = f"transform({_spans(_CANDIDATE)}, c -> {let('x', 'substr(t, c.s + 1, c.e - c.s)', f'if({mixed_string}, {tested}, null)')})"
+    tested = let("p", _battery("x", alpha, text_repeat), f"struct(c.s, c.e, int(c.e - c.s >= 32) + int(c.e - c.s >= 64) as class, {step} as step, array_contains(wholes, c) as whole)")
+    each = f"transform(array_union(wholes, {_spans(_PART)}), c -> {let('x', 'substr(t, c.s + 1, c.e - c.s)', f'if({lettered}, {tested}, null)')})"
+    candidates = let("wholes", _spans(_CANDIDATE), f"{each}")
     return texts.selectExpr(
         "doc_id",
         f"{assign} as assign",
@@ -145,7 +158,8 @@ def secrets(
     found = stored(_found(docs, alpha, text_repeat), "secret-spans")
     cuts = {row["class"]: row["cut"] for row in _cuts(found, rate).collect()}  # three rows at most
     tests = " or ".join(f"(c.class = {size} and c.step >= {cut})" for size, cut in sorted(cuts.items())) or "false"
-    reported = f"transform(filter(candidates, c -> {tests}), c -> struct(c.s, c.e))"
+    alone = "filter(cs, c -> c.whole or not exists(cs, w -> w.whole and w.s <= c.s and w.e >= c.e))"
+    reported = let("cs", f"filter(candidates, c -> {tests})", f"transform(array_sort({alone}), c -> struct(c.s, c.e))")
     return found.selectExpr("doc_id", "assign", "access", "hex", f"{reported} as random")
 
 

@@ -256,6 +256,26 @@ def test_random_strings_are_told_from_words(spark):
     assert len(found & set(range(40))) >= 36 and not found & set(range(40, 85))
 
 
+def test_random_strings_of_every_encoding(spark):
+    order = np.random.default_rng(4)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"HEX": (digits + "ABCDEF", 40), "base36": (lower + digits, 48), "BASE36": (lower.upper() + digits, 48), "letters": (lower + lower.upper(), 48)}
+    texts = {(kind, i): "".join(order.choice(list(a), n)) for kind, (a, n) in alphabets.items() for i in range(20)}
+    for i in range(20):
+        key = "".join(order.choice(list(digits + "ABCDEF"), 32))
+        texts["UUID", i] = "-".join([key[:8], key[8:12], key[12:16], key[16:20], key[20:]])
+        part = "".join(order.choice(list(lower + lower.upper() + digits), 40))
+        texts["part", i] = f"archive/reports/annual/treatment/stations/interest/{part}/settlement/statement/of/the/state"
+    words = "treatment station interest settlement statement annual report committee agreement attention".split()
+    texts |= {("words", i): order.choice(["-", "_", "/", ""]).join(order.choice(words, 5)) for i in range(60)}
+    keys = list(texts)
+    docs = _documents(spark, [(i, f"see {texts[key]} here", "s") for i, key in enumerate(keys)])
+    found = {keys[r.doc_id]: r.random for r in secrets.secrets(docs).collect() if r.random}
+    counted = Counter(kind for kind, _ in found)
+    assert not counted["words"] and all(counted[kind] >= 17 for kind in [*alphabets, "UUID", "part"]), counted
+    assert all(texts[key][x.s - 4 : x.e - 4] in texts[key].split("/") for key, spans in found.items() for x in spans if key[0] == "part")
+
+
 # Co-training
 
 
