@@ -66,7 +66,7 @@ def metadata_view(text: str, lang, source, n_chars, hashes: WordHashes) -> Spars
         f"repeats {int(10 * (1 - len(set(lines)) / len(lines)))}",
         f"marks {int(np.log2(1 + 1000 * marks / size) * 2)}",
         f"digits {int(np.log2(1 + 1000 * sum(map(text.count, '0123456789')) / size) * 2)}",
-        f"capitals {int(np.log2(1 + 1000 * sum(map(str.isupper, text[:: max(1, size // 2000)])) / 2000) * 2)}",
+        f"capitals {int(np.log2(1 + 1000 * sum(map(str.isupper, text)) / size) * 2)}",
         f"words {int(2 * size / n_words)}",
         f"stops {int(np.log2(1 + 100 * text.count('.') / n_words) * 2)}",
     ]

@@ -288,6 +288,21 @@ def test_co_training_separates_labelled_documents(spark, odd, none):
     assert {r.quality_score for r in co_training.scored(odd, labels.filter("false")).collect()} == {0.5}
 
 
+def test_capitals_are_a_share_of_the_whole_text():
+    """One capital in eight, in a short text, a longer one, and one whose capitals lie between every second character."""
+    class Named(dict):
+        def __missing__(self, trait):
+            self[trait] = len(self)
+            return self[trait]
+
+    def capitals(text):
+        hashes = Named()
+        co_training.metadata_view(text, "en", "s", len(text), hashes)
+        return [trait for trait in hashes if trait.startswith("capitals")]
+
+    assert capitals("aBcdefg " * 10) == capitals("aBcdefg " * 100) == capitals("aBcdefg " * 500) == ["capitals 13"]
+
+
 # Decontamination
 
 
