@@ -95,3 +95,43 @@ select w.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words w left join hit using (doc_id) left join per_doc using (doc_id)
 """
+
+# Collocations: all phrases of each length exploded and counted; 128-bit products.
+COLLOCATIONS = r"""
+with pieces as (
+  select lang, row_number() over () as piece,
+         regexp_extract_all(p, '[^\x20\x09]+') as ws
+  from (select coalesce(lang, 'und') as lang,
+               unnest(regexp_split_to_array(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p
+        from documents)),
+leads as (
+  select lang, ws[i] as w1, ws[i + 1] as w2, ws[i + 2] as w3
+  from (select lang, ws, unnest(range(1, len(ws) + 1)) as i from pieces)),
+totals as (select lang, count(*)::bigint as n from leads group by lang),
+one as (select lang, w1 as p, count(*)::bigint as f from leads group by all),
+two as (select lang, w1, w2, w1 || ' ' || w2 as p, count(*)::bigint as f from leads where w2 is not null group by all),
+three as (
+  select lang, w1, w2, w3, w1 || ' ' || w2 || ' ' || w3 as p, count(*)::bigint as f
+  from leads where w3 is not null group by all having count(*) >= 10),
+cuts as (
+  select t.lang, t.p, t.f as a, 1 as k, x.f as l, y.f as r
+  from two t join one x on x.lang = t.lang and x.p = t.w1 join one y on y.lang = t.lang and y.p = t.w2 where t.f >= 10
+  union all
+  select t.lang, t.p, t.f, 1, x.f, y.f
+  from three t join one x on x.lang = t.lang and x.p = t.w1 join two y on y.lang = t.lang and y.w1 = t.w2 and y.w2 = t.w3
+  union all
+  select t.lang, t.p, t.f, 2, x.f, y.f
+  from three t join two x on x.lang = t.lang and x.w1 = t.w1 and x.w2 = t.w2 join one y on y.lang = t.lang and y.p = t.w3),
+scores as (
+  select *, (1000000::hugeint * a * a // (l::hugeint * r))::bigint as score from cuts),
+lowest as (
+  select * from scores qualify row_number() over (partition by lang, p order by score, k) = 1),
+inside as (
+  select lang, w1 || ' ' || w2 as p, f from three union all select lang, w2 || ' ' || w3, f from three),
+held as (select t.lang, t.p from two t join inside i on i.lang = t.lang and i.p = t.p group by t.lang, t.p, t.f having 100 * max(i.f) >= 50 * t.f),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, p) as rank
+  from lowest where (lang, p) not in (select (lang, p) from held))
+select lang, rank, p as phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""

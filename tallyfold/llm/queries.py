@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold.llm import (
     co_training,
+    collocations,
     decontamination,
     language_models,
     licenses,
@@ -15,6 +16,7 @@ from tallyfold.llm import (
     mixing,
     near_duplicates,
     oracle,
+    periodic_runs,
     secrets,
     sharding,
     token_counts,
@@ -72,6 +74,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_matches(docs, licenses.known_notices(docs))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_token_counts,
@@ -84,6 +94,8 @@ def llm_queries() -> dict[str, Query]:
         op8_decontamination,
         op9_entropy_difference,
         op10_licenses,
+        op12_collocations,
+        op13_periodic_runs,
     ]
     return {query.__name__: query for query in found}
 
@@ -93,4 +105,5 @@ def llm_oracles() -> dict[str, str]:
         "op2_mix_sources": oracle.MIXING,
         "op4_line_quality": oracle.LINE_QUALITY,
         "op8_decontamination": oracle.DECONTAMINATION,
+        "op12_collocations": oracle.COLLOCATIONS,
     }
