@@ -6,11 +6,11 @@ every shorter prefix, and with them, since each occurrence of a phrase leads exa
 counts of all phrases of 1 to ``longest`` words and of all words of a language. No n-grams of the
 shorter lengths are exploded.
 
-Most windows of a large corpus are single and would only fill the shuffle. A phrase is a candidate
-only if each pair of neighbouring words in it is as frequent, so a first pass counts pairs by a 64-bit
-hash and marks the frequent ones in a bitmap of at most 2^MAP_BITS bits. A window ends, padded,
-before the first pair whose bit is not set. Bits shared by chance keep windows that could have been cut;
-nothing frequent is ever cut, so all counts that the result shows are exact at any size.
+Most windows of a large corpus are single and would only fill the shuffle. So a first pass counts
+phrases of 2 words and more by PLACE_BITS bits of a hash and marks the places of frequent ones in a bitmap. A
+window ends, padded, before the first word whose phrase has no bit. Phrases that share a place by
+chance keep windows that could have been cut; nothing frequent is ever cut, so all counts that
+the result shows are exact at any size.
 
 A candidate of at least ``least`` occurrences is cut in two at each place; with a, l, r the occurrences
 of the whole and its parts, the cut scores floor(10^6 * a^2 / (l * r)), in decimals of 38 digits (exact
@@ -23,8 +23,10 @@ time; ties in score go to the greater a, then to the phrase in byte order. A lan
 candidates has no rows; an empty table gives an empty result. Other columns are ignored.
 
 At scale: both counts combine within tasks before their shuffle, so a phrase that fills a third of the
-corpus arrives as one row per task. The bitmap is the only thing broadcast, 2 MB at most. The best rows of a
-language are taken per slice of its candidates first.
+corpus arrives as one row per task. The bitmap is the only thing broadcast: 16 bits per frequent
+place, 2^MAP_BITS bits (16 MB) at most; with more than 8 million frequent places it lets more of the rare
+windows through, which costs shuffle, not correctness. The best rows of a language are taken per slice
+of its candidates first.
 """
 
 from __future__ import annotations
@@ -41,7 +43,8 @@ LONGEST = 3
 LEAST = 10
 SHARE = 50
 BEST = 2000
-MAP_BITS = 24
+PLACE_BITS = 36
+MAP_BITS = 27
 SLICES = 256
 SCALE = 1_000_000
 
@@ -49,9 +52,11 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # ASCII texts take the faster function for the same result.
 _LOWERED = f"if(octet_length(t) = length(t), lower(t), translate(t, '{_UPPER}', '{_LOWER}'))"
 _PIECES = f"split({let('t', "coalesce(text, '')", _LOWERED)}, r'[.,;:!?\n\u000b\u000c\r]')"
-# Words of a piece, without the empty texts that blanks at its ends leave.
+# Words of a piece. Most pieces have single spaces only: a plain split, and no empty texts but at its ends.
 _FIRST = "int(p[0] = '')"
-_WORDS = let("p", r"split(piece, r'[ \t]+')", f"slice(p, 1 + {_FIRST}, size(p) - {_FIRST} - int(size(p) > 1 and p[size(p) - 1] = ''))")
+_PLAIN = let("p", "split(piece, ' ')", f"slice(p, 1 + {_FIRST}, size(p) - {_FIRST} - int(size(p) > 1 and p[size(p) - 1] = ''))")
+_BLANKS = r"filter(split(piece, r'[ \t]+'), w -> w != '')"
+_WORDS = f"if(contains(piece, '  ') or contains(piece, '\t'), {_BLANKS}, {_PLAIN})"
 
 
 def _columns(n: int) -> list[str]:
@@ -67,43 +72,48 @@ def _leads(docs: DataFrame, n: int) -> DataFrame:
     return placed.filter("w1 is not null").selectExpr("lang", "w1", *[f"get(ws, i + {k}) as w{k + 1}" for k in range(1, n)])
 
 
-def _hash(first: str, second: str) -> str:
-    return f"xxhash64(lang, {first}, {second})"
+def _place(length: int) -> str:
+    """SQL text of the place of the first words of a window; NULL if they are fewer."""
+    words = ", ".join(_columns(length))
+    return f"if(w{length} is null, null, shiftrightunsigned(xxhash64(lang, {words}), {64 - PLACE_BITS}))"
 
 
-def _frequent_pairs(docs: DataFrame, least: int, bits: int) -> DataFrame:
-    """One row with the bitmap of pairs of at least ``least`` occurrences: 2^(bits - 6) longs."""
-    pairs = _leads(docs, 2).filter("w2 is not null").selectExpr(f"{_hash('w1', 'w2')} as pair")
-    frequent = pairs.groupBy("pair").agg(F.expr("count(*) as n")).filter(f"n >= {least}")
-    placed = frequent.selectExpr(f"shiftrightunsigned(pair, {64 - bits}) as place")
-    words = placed.groupBy(F.expr("shiftright(place, 6) as id")).agg(F.expr("bit_or(shiftleft(1L, int(place & 63))) as mask"))
+def _bitmap(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, int]:
+    """One row with the bitmap of places with at least ``least`` occurrences, in longs, and its bits (a power of 2)."""
+    places = ", ".join(_place(length) for length in range(2, longest + 1))
+    each = _leads(docs, longest).selectExpr(f"explode_outer(array({places})) as place").filter("place is not null")
+    frequent = each.groupBy("place").agg(F.expr("count(*) as n")).filter(f"n >= {least}").select("place")
+    frequent = stored(frequent, "frequent-places")
+    bits = min(max(16, (16 * frequent.count()).bit_length()), MAP_BITS)
+    placed = frequent.selectExpr(f"shiftrightunsigned(place, {PLACE_BITS - bits}) as bit")
+    words = placed.groupBy(F.expr("shiftright(bit, 6) as id")).agg(F.expr("bit_or(shiftleft(1L, int(bit & 63))) as mask"))
     # Every long has its row, so that sorted masks form the bitmap.
     every = docs.sparkSession.range(1 << (bits - 6)).selectExpr("id", "0L as mask")
     full = words.unionByName(every).groupBy("id").agg(F.expr("bit_or(mask) as mask"))
-    return full.agg(F.expr("transform(array_sort(collect_list(struct(id, mask))), s -> s.mask) as bitmap"))
+    return full.agg(F.expr("transform(array_sort(collect_list(struct(id, mask))), s -> s.mask) as bitmap")), bits
 
 
-def _padded(windows: DataFrame, bitmap: DataFrame, n: int, bits: int) -> DataFrame:
-    """Windows that end before their first pair without a bit."""
+def _padded(windows: DataFrame, bitmap: DataFrame, bits: int, n: int) -> DataFrame:
+    """Windows that end before their first word whose phrase has no bit."""
     marked = windows.withColumn("_bitmap", bitmap.scalar())
     kept = "true"
     for i in range(2, n + 1):
-        place = f"shiftrightunsigned({_hash(f'w{i - 1}', f'w{i}')}, {64 - bits})"
-        bit = f"w{i} is not null and getbit(_bitmap[int(shiftright({place}, 6))], int({place} & 63)) = 1"
-        marked = marked.withColumn(f"_kept{i}", F.expr(f"{kept} and {bit}"))
+        marked = marked.withColumn(f"_bit{i}", F.expr(f"shiftrightunsigned({_place(i)}, {PLACE_BITS - bits})"))
+        test = f"w{i} is not null and getbit(_bitmap[int(shiftright(_bit{i}, 6))], int(_bit{i} & 63)) = 1"
+        marked = marked.withColumn(f"_kept{i}", F.expr(f"{kept} and {test}"))
         kept = f"_kept{i}"
     cut = [f"if(_kept{i}, w{i}, null) as w{i}" for i in range(2, n + 1)]
     return marked.selectExpr("lang", "w1", *cut)
 
 
-def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits: int = MAP_BITS) -> DataFrame:
+def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """Occurrences ``n`` per language of every phrase (``w1`` ...) that may have ``least`` of them.
 
     ``words`` is the number of words of the phrase; rows with 0 words count all words of a language.
     """
     words = _columns(longest)
-    bitmap = stored(_frequent_pairs(docs, least, bits), "frequent-pairs")
-    windows = _padded(_leads(docs, longest), bitmap, longest, bits)
+    bitmap, bits = _bitmap(docs, longest, least)
+    windows = _padded(_leads(docs, longest), stored(bitmap, "frequent-bitmap"), bits, longest)
     counted = windows.groupBy("lang", *words).agg(F.expr("count(*) as n"))
     summed = counted.rollup("lang", *words).agg(F.expr("sum(n) as n"), F.expr("grouping_id() as gid"))
     # A prefix is all columns of a grouping; one that holds padding repeats a shorter one.
@@ -155,10 +165,10 @@ def _held(phrases: DataFrame, lengths: range, share: int) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, longest: int = LONGEST, least: int = LEAST, share: int = SHARE, best: int = BEST, bits: int = MAP_BITS
+    docs: DataFrame, longest: int = LONGEST, least: int = LEAST, share: int = SHARE, best: int = BEST
 ) -> DataFrame:
     """The best phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    counts = stored(phrase_counts(docs, longest, least, bits), "phrase-counts")
+    counts = stored(phrase_counts(docs, longest, least), "phrase-counts")
     lengths = range(2, longest + 1)
     text = f"concat_ws(' ', {', '.join(_columns(longest))}) as phrase"
     phrases = counts.filter("words > 0").selectExpr("*", text)

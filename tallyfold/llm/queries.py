@@ -13,6 +13,7 @@ from tallyfold.llm import (
     language_models,
     licenses,
     line_quality,
+    main_text,
     mixing,
     near_duplicates,
     oracle,
@@ -74,6 +75,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_matches(docs, licenses.known_notices(docs))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -94,6 +99,7 @@ def llm_queries() -> dict[str, Query]:
         op8_decontamination,
         op9_entropy_difference,
         op10_licenses,
+        op11_main_text,
         op12_collocations,
         op13_periodic_runs,
     ]
