@@ -7,8 +7,8 @@ counts of all phrases of 1 to ``longest`` words and of all words of a language.
 shorter lengths are exploded.
 
 Most windows of a large corpus are single and would only fill the shuffle. So a first pass counts
-phrases of 2 words and more by PLACE_BITS bits of a hash and marks the places of frequent ones in a bitmap. A
-window ends, padded, before the first word whose phrase has no bit. Phrases that share a place by
+phrases of 2 words and more by PLACE_BITS bits of a hash and marks the frequent ones in a bitmap. A
+window ends, padded, before the first word whose phrase has no bit. Phrases that share a bit by
 chance keep windows that could have been cut; nothing frequent is ever cut, so all counts that
 the result shows are exact at any size.
 
@@ -24,7 +24,7 @@ candidates has no rows; an empty table gives an empty result. Other columns are
 
 At scale: both counts combine within tasks before their shuffle, so a phrase that fills a third of the
 corpus arrives as one row per task. The bitmap is the only thing broadcast: 16 bits per frequent
-place, 2^MAP_BITS bits (16 MB) at most; with more than 8 million frequent places it lets more of the rare
+phrase, 2^MAP_BITS bits (16 MB) at most; with more than 8 million frequent phrases it lets more of the rare
 windows through, which costs shuffle, not correctness. The best rows of a language are taken per slice
 of its candidates first.
 """
@@ -36,7 +36,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import let
+from tallyfold.llm.common import BITS, bitmap_bits, bitmap_of, in_bitmap, let
 from tallyfold.sources.shared import stored
 
 LONGEST = 3
@@ -44,7 +44,7 @@ LEAST = 10
 SHARE = 50
 BEST = 2000
 PLACE_BITS = 36
-MAP_BITS = 27
+MAP_BITS = BITS
 SLICES = 256
 SCALE = 1_000_000
 
@@ -72,25 +72,18 @@ def _leads(docs: DataFrame, n: int) -> DataFrame:
     return placed.filter("w1 is not null").selectExpr("lang", "w1", *[f"get(ws, i + {k}) as w{k + 1}" for k in range(1, n)])
 
 
-def _place(length: int) -> str:
-    """SQL text of the place of the first words of a window; NULL if they are fewer."""
+def _hash(length: int) -> str:
+    """SQL text of the hash of the first words of a window, its last bits cut off; NULL if they are fewer."""
     words = ", ".join(_columns(length))
-    return f"if(w{length} is null, null, shiftrightunsigned(xxhash64(lang, {words}), {64 - PLACE_BITS}))"
+    return f"if(w{length} is null, null, xxhash64(lang, {words}) & {-1 << (64 - PLACE_BITS)}L)"
 
 
-def _bitmap(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, int]:
-    """One row with the bitmap of places with at least ``least`` occurrences, in longs, and its bits (a power of 2)."""
-    places = ", ".join(_place(length) for length in range(2, longest + 1))
-    each = _leads(docs, longest).selectExpr(f"explode_outer(array({places})) as place").filter("place is not null")
-    frequent = each.groupBy("place").agg(F.expr("count(*) as n")).filter(f"n >= {least}").select("place")
-    frequent = stored(frequent, "frequent-places")
-    bits = min(max(16, (16 * frequent.count()).bit_length()), MAP_BITS)
-    placed = frequent.selectExpr(f"shiftrightunsigned(place, {PLACE_BITS - bits}) as bit")
-    words = placed.groupBy(F.expr("shiftright(bit, 6) as id")).agg(F.expr("bit_or(shiftleft(1L, int(bit & 63))) as mask"))
-    # Every long has its row, so that sorted masks form the bitmap.
-    every = docs.sparkSession.range(1 << (bits - 6)).selectExpr("id", "0L as mask")
-    full = words.unionByName(every).groupBy("id").agg(F.expr("bit_or(mask) as mask"))
-    return full.agg(F.expr("transform(array_sort(collect_list(struct(id, mask))), s -> s.mask) as bitmap")), bits
+def _frequent(docs: DataFrame, longest: int, least: int) -> DataFrame:
+    """Hashes that phrases of at least ``least`` occurrences in all have."""
+    hashes = ", ".join(_hash(length) for length in range(2, longest + 1))
+    each = _leads(docs, longest).selectExpr(f"explode_outer(array({hashes})) as hash").filter("hash is not null")
+    frequent = each.groupBy("hash").agg(F.expr("count(*) as n")).filter(f"n >= {least}").select("hash")
+    return stored(frequent, "frequent-phrases")
 
 
 def _padded(windows: DataFrame, bitmap: DataFrame, bits: int, n: int) -> DataFrame:
@@ -98,9 +91,8 @@ def _padded(windows: DataFrame, bitmap: DataFrame, bits: int, n: int) -> DataFra
     marked = windows.withColumn("_bitmap", bitmap.scalar())
     kept = "true"
     for i in range(2, n + 1):
-        marked = marked.withColumn(f"_bit{i}", F.expr(f"shiftrightunsigned({_place(i)}, {PLACE_BITS - bits})"))
-        test = f"w{i} is not null and getbit(_bitmap[int(shiftright(_bit{i}, 6))], int(_bit{i} & 63)) = 1"
-        marked = marked.withColumn(f"_kept{i}", F.expr(f"{kept} and {test}"))
+        marked = marked.withColumn(f"_hash{i}", F.expr(_hash(i)))
+        marked = marked.withColumn(f"_kept{i}", F.expr(f"{kept} and w{i} is not null and {in_bitmap('_bitmap', f'_hash{i}', bits)}"))
         kept = f"_kept{i}"
     cut = [f"if(_kept{i}, w{i}, null) as w{i}" for i in range(2, n + 1)]
     return marked.selectExpr("lang", "w1", *cut)
@@ -112,8 +104,9 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     ``words`` is the number of words of the phrase; rows with 0 words count all words of a language.
     """
     words = _columns(longest)
-    bitmap, bits = _bitmap(docs, longest, least)
-    windows = _padded(_leads(docs, longest), stored(bitmap, "frequent-bitmap"), bits, longest)
+    frequent = _frequent(docs, longest, least)
+    bits = bitmap_bits(frequent.count(), MAP_BITS)
+    windows = _padded(_leads(docs, longest), bitmap_of(frequent, bits), bits, longest)
     counted = windows.groupBy("lang", *words).agg(F.expr("count(*) as n"))
     summed = counted.rollup("lang", *words).agg(F.expr("sum(n) as n"), F.expr("grouping_id() as gid"))
     # A prefix is all columns of a grouping; one that holds padding repeats a shorter one.
