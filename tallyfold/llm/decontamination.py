@@ -16,9 +16,11 @@ ASCII; NULL and empty texts have none and are never contaminated; an item withou
 nothing; items with equal ids count once, items without an id mark words but are not listed;
 repeated documents each get a row. Other columns are ignored.
 
-At scale: fingerprints of documents are narrow rows and meet those of the benchmark in a join that
-Spark broadcasts only if it measures the benchmark as small. Only documents with a common
-fingerprint are read again, with their words; a hit carries the words around it and nothing else.
+At scale: one pass makes the fingerprints of all lengths that occur. They are narrow rows and meet those of
+the benchmark in a join that Spark broadcasts only if it measures the benchmark as small. A second
+pass reads texts again; a bitmap of the hashes of texts with hits (16 bits each, 16 MB at most) keeps nearly all
+others out of the one exchange of texts, a merge join at every size. Its share of the corpus is that of texts with
+hits. A hit carries the words around it and nothing else.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import ROW, let, same_row
+from tallyfold.llm.common import ROW, bitmap_bits, bitmap_of, in_bitmap, let, same_row
 from tallyfold.sources.shared import stored
 
 SPAN = 10
@@ -65,16 +67,14 @@ def _fingerprints(words: str, k: int, window: int) -> str:
     return let("ws", words, f"if(size(ws) < {k}, {none}, {let('hs', grams, kept)})")
 
 
-def _context(words: str, reach: int, k: int) -> str:
-    """SQL text of the words around position ``pos``, and how many of them stand before it."""
-    start = f"greatest(0, pos - {reach})"
-    return (
-        f"struct(slice({words}, {start} + 1, pos - {start} + {k + reach}) as words, pos - {start} as before)"
-    )
+def _context(words: str) -> str:
+    """SQL text of the words around a gram of ``k`` words at ``pos``, ``reach`` on each side, and how many stand before it."""
+    start = "greatest(0, pos - reach)"
+    return f"struct(slice({words}, {start} + 1, pos - {start} + k + reach) as words, pos - {start} as before)"
 
 
-def _run(direction: str, limit: int) -> str:
-    """SQL text: how many words agree on one side of a common k-gram, ``limit`` at most."""
+def _run(direction: str) -> str:
+    """SQL text: how many words agree on one side of a common gram, ``reach`` at most."""
     d, i = ("doc", "item")
     test = {
         "left": f"x > least({d}.before, {i}.before) or {d}.words[{d}.before - x] != {i}.words[{i}.before - x]",
@@ -83,9 +83,7 @@ def _run(direction: str, limit: int) -> str:
             f" or {d}.words[{d}.before + k + x - 1] != {i}.words[{i}.before + k + x - 1]"
         ),
     }[direction]
-    if not limit:
-        return "0"
-    return f"coalesce(array_min(filter(sequence(1, {limit}), x -> {test})) - 1, {limit})"
+    return f"if(reach = 0, 0, coalesce(array_min(filter(sequence(1, greatest(reach, 1)), x -> {test})) - 1, reach))"
 
 
 def _lengths(items: DataFrame, span: int) -> list[int]:
@@ -94,45 +92,54 @@ def _lengths(items: DataFrame, span: int) -> list[int]:
     return sorted(row.n for row in found)
 
 
-def _matches(docs: DataFrame, items: DataFrame, length: int, k: int, window_items: str) -> DataFrame:
-    """Hits of windows of one length: document row, first word, end, item."""
-    k = min(k, length)
-    window, reach = length - k + 1, length - k
-    prints = f"explode({_fingerprints('words', k, window)}) as f"
-    chosen = items.filter(window_items).selectExpr("item_id", "words", prints)
-    chosen = chosen.selectExpr("item_id", "f.pos", "f.fingerprint", "words")
-    chosen = chosen.selectExpr("item_id", "fingerprint", f"{_context('words', reach, k)} as item")
-    chosen = stored(chosen, "benchmark-fingerprints")
-    wanted = chosen.select(F.col("fingerprint").alias("wanted")).distinct()
-    found = docs.selectExpr("doc_id", _ROW_HASH, f"explode({_fingerprints(WORDS, k, window)}) as f")
-    found = found.selectExpr(*ROW, "f.pos", "f.fingerprint")
-    found = found.join(wanted, found["fingerprint"] == wanted["wanted"], "left_semi")
-    # Rows alike are joined with each other's hits once: positions are a set.
-    found = stored(found.groupBy(*ROW).agg(F.expr("collect_set(struct(pos, fingerprint)) as hits")), "fingerprint-hits")
-    full = docs.selectExpr("doc_id as id", "xxhash64(text) as text_hash", "text").join(
-        found, F.col("id").eqNullSafe(found["doc_id"]) & (F.col("text_hash") == found["row_hash"])
-    )
-    around = let("ws", WORDS, f"transform(hits, h -> {let('pos', 'h.pos', f'struct(pos, h.fingerprint as fingerprint, {_context('ws', reach, k)} as doc)')})")
-    hits = full.selectExpr(*ROW, f"inline({around})")
-    pairs = hits.join(chosen, "fingerprint").selectExpr(*ROW, "item_id", "pos", "doc", "item", f"{k} as k")
-    same = pairs.filter("slice(doc.words, doc.before + 1, k) = slice(item.words, item.before + 1, k)")
-    runs = same.selectExpr(*ROW, "item_id", "pos", f"{_run('left', reach)} as l", f"{_run('right', reach)} as r")
-    return runs.filter(f"l + {k} + r >= {length}").selectExpr(*ROW, "item_id", "pos - l as first", f"pos + {k} + r as end")
+def _grams(length: int, k: int) -> int:
+    return min(k, length)
+
+
+def _all_fingerprints(words: str, lengths: list[int], k: int, only: str = "true") -> str:
+    """SQL text of the array of (length, pos, fingerprint) for all lengths that pass the test ``only`` of ``length``."""
+    parts = []
+    for length in lengths:
+        prints = _fingerprints("words", _grams(length, k), length - _grams(length, k) + 1)
+        each = f"transform({prints}, f -> struct({length} as length, f.pos as pos, f.fingerprint as fingerprint))"
+        none = "cast(array() as array<struct<length: int, pos: int, fingerprint: bigint>>)"
+        parts.append(each if only == "true" else f"if({only.format(length=length)}, {each}, {none})")
+    return let("words", words, f"concat({', '.join(parts)})")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """Common spans: document row, item, first word and end (exclusive) in the document."""
     items = stored(benchmark.selectExpr("item_id", f"{WORDS} as words").selectExpr("*", "size(words) as n_words"), "benchmark-words")
-    parts = []
-    for length in _lengths(items, span):
-        chosen = f"n_words >= {span}" if length == span else f"n_words = {length}"
-        parts.append(_matches(docs, items, length, k, chosen))
-    if not parts:
-        parts = [docs.selectExpr("doc_id", _ROW_HASH, "cast(null as bigint) as item_id", "0 as first", "0 as end").filter("false")]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    lengths = _lengths(items, span)
+    if not lengths:
+        return docs.selectExpr("doc_id", _ROW_HASH, "cast(null as bigint) as item_id", "0 as first", "0 as end").filter("false")
+    shape = [f"least(length, {k}) as k", f"length - least(length, {k}) as reach"]
+    own = _all_fingerprints("words", lengths, k, f"least(n_words, {span}) = {{length}}")
+    chosen = items.selectExpr("item_id", "words", f"inline({own})").selectExpr("*", *shape)
+    chosen = stored(chosen.selectExpr("item_id", "length", "fingerprint", f"{_context('words')} as item"), "benchmark-fingerprints")
+    wanted = chosen.selectExpr("length as _length", "fingerprint as _fingerprint").distinct()
+    # Outer, since otherwise a filter is inferred that makes the fingerprints twice more.
+    found = docs.selectExpr("doc_id", _ROW_HASH, f"inline_outer({_all_fingerprints(WORDS, lengths, k)})").filter("fingerprint is not null")
+    found = found.join(wanted, (F.col("length") == F.col("_length")) & (F.col("fingerprint") == F.col("_fingerprint")), "left_semi")
+    # Rows alike are joined with each other's hits once: positions are a set.
+    found = stored(found.groupBy(*ROW).agg(F.expr("collect_set(struct(length, pos, fingerprint)) as hits")), "fingerprint-hits")
+    full = _with_bit(docs.selectExpr("doc_id as id", "text"), found).selectExpr("id", "xxhash64(text) as text_hash", "text")
+    full = full.join(found.hint("merge"), F.col("id").eqNullSafe(found["doc_id"]) & (F.col("text_hash") == found["row_hash"]))
+    placed = full.selectExpr(*ROW, f"{WORDS} as words", "hits").selectExpr(*ROW, "words", "inline_outer(hits)").selectExpr("*", *shape)
+    hits = placed.selectExpr(*ROW, "length", "fingerprint", "pos", "k", "reach", f"{_context('words')} as doc")
+    pairs = hits.join(chosen, ["length", "fingerprint"])
+    same = pairs.filter("slice(doc.words, doc.before + 1, k) = slice(item.words, item.before + 1, k)")
+    runs = same.selectExpr(*ROW, "item_id", "pos", "k", "length", f"{_run('left')} as l", f"{_run('right')} as r")
+    return runs.filter("l + k + r >= length").selectExpr(*ROW, "item_id", "pos - l as first", "pos + k + r as end")
+
+
+def _with_bit(docs: DataFrame, found: DataFrame, absent: bool = False) -> DataFrame:
+    """Rows whose text has a bit in the bitmap of the texts of ``found``; the others if ``absent``."""
+    texts = stored(found.select("row_hash").distinct(), "hit-texts")
+    bits = bitmap_bits(texts.count())
+    test = in_bitmap("_bitmap", "xxhash64(text)", bits)
+    marked = docs.withColumn("_bitmap", bitmap_of(texts.withColumnRenamed("row_hash", "hash"), bits).scalar())
+    return marked.filter(f"not {test}" if absent else test).drop("_bitmap")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
@@ -145,7 +152,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: i
     ids = "sort_array(collect_set(cast(item_id as string)))"
     per_doc = found.groupBy(*ROW).agg(F.expr(f"{covered} as n_hit"), F.expr(f"{ids} as ids"))
     counts = docs.selectExpr("doc_id", _ROW_HASH, f"bigint({N_WORDS}) as n_words")
-    return counts.join(per_doc, same_row(counts, per_doc), "left").select(
+    return counts.join(per_doc.hint("merge"), same_row(counts, per_doc), "left").select(
         counts["doc_id"],
         counts["row_hash"],
         "n_words",
@@ -158,6 +165,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: i
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """Documents without a word in common spans; the others go as a whole."""
-    bad = matches(docs, benchmark, span, k).select(*ROW).distinct().withColumnsRenamed({"doc_id": "_id", "row_hash": "_hash"})
-    key = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
-    return docs.join(bad, key, "left_anti")
+    bad = stored(matches(docs, benchmark, span, k).select(*ROW).distinct(), "contaminated")
+    named = bad.withColumnsRenamed({"doc_id": "_id", "row_hash": "_hash"}).hint("merge")
+    doubtful = _with_bit(docs, bad)
+    key = doubtful["doc_id"].eqNullSafe(named["_id"]) & (F.xxhash64(doubtful["text"]) == named["_hash"])
+    return _with_bit(docs, bad, absent=True).unionByName(doubtful.join(named, key, "left_anti"))

@@ -9,7 +9,7 @@ import pytest
 from compare import difference, duckdb_on, oracle_rows, spark_rows
 from pyspark.sql import functions as F
 
-from tallyfold.llm import collocations, main_text, oracle, periodic_runs
+from tallyfold.llm import collocations, decontamination, main_text, oracle, periodic_runs
 from tallyfold.llm.common import table
 from tallyfold.llm.queries import llm_queries
 
@@ -229,9 +229,9 @@ def test_main_texts_of_odd_rows(spark, folder):
     rows = [(None, None, None), (1, "u", None), (1, "u", ""), (2, None, "<p>Some words, a text. " * 20_000), (2, None, "<p>Some words, a text. " * 20_000)]
     pages = spark.createDataFrame([(*row, "x", 5) for row in rows], "page_id long, url string, html string, text string, n_chars int")
     found = main_text.main_texts(pages).collect()
-    assert sorted(r.n_chars for r in found) == [0, 0, 0, 449_999, 449_999]  # 20,000 blocks of 22 characters less one blank, joined by line feeds
+    assert sorted(r.n_chars for r in found) == [0, 0, 0, 399_999, 399_999]  # 20,000 blocks of 19 characters, joined by line feeds
     assert main_text.main_texts(pages.filter("false")).count() == 0
-    assert found[0]._fields == ("page_id", "url", "text", "n_chars")
+    assert found[0].__fields__ == ["page_id", "url", "text", "n_chars"]
 
 
 def test_main_texts_query(spark, folder):
@@ -249,3 +249,54 @@ def test_long_broken_pages_end(weights, page):
 def test_main_texts_keep_pages_with_equal_ids(spark, folder):
     pages = table(spark, folder, "pages")
     assert main_text.main_texts(pages.union(pages)).groupBy("page_id").agg(F.expr("count(*) as n")).filter("n <> 2").count() == 0
+
+
+# Decontamination: one plan at every size
+
+
+def _hits_by_brute_force(text, items):
+    split = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
+    words = split(text.translate({c: c + 32 for c in range(65, 91)}))
+    covered, found = set(), set()
+    for item_id, item in items:
+        own = split(item.lower())
+        n = min(10, len(own))
+        windows = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if n else set()
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in windows:
+                covered |= set(range(i, i + n))
+                found.add(str(item_id))
+    return len(words), len(covered), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "1g"])
+def test_items_of_all_lengths_together(spark, threshold):
+    rng = random.Random(7)
+    items = [(n, " ".join(rng.choice("abcdef") for _ in range(n))) for n in range(1, 13)] + [(13, ""), (14, None)]
+    items = [(i, text if i != 1 else "rare") for i, text in items]  # one letter would hit every text
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 400))) for _ in range(40)]
+    texts += [f"x y {items[n][1]} Z {items[n][1].upper()}" for n in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = decontamination.decontaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+        rows = {r.doc_id: (r.n_words, r.n_hit, r.items_sha256) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    listed = [(i, text or "") for i, text in items]
+    assert rows == {i: _hits_by_brute_force(text, listed) for i, text in enumerate(texts)}
+
+
+def test_texts_are_exchanged_alike_at_every_size(spark, folder):
+    """The same joins of texts under any broadcast threshold; two scans of texts."""
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    plans = []
+    for threshold in ("-1", "1g"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = decontamination.decontaminated(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.count("documents.parquet") == 2
+        plans.append(re.findall(r"(\w+Join) \[(?:coalesce\()?(?:id|doc_id)#", plan))
+    assert plans[0] == plans[1] == ["SortMergeJoin"] * 2
