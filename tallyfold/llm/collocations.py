@@ -36,7 +36,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import BITS, bitmap_bits, bitmap_of, in_bitmap, let
+from tallyfold.llm.common import BITS, bitmap_bits, bitmap_of, in_bitmap
 from tallyfold.sources.shared import stored
 
 LONGEST = 3
@@ -51,12 +51,11 @@ SCALE = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # ASCII texts take the faster function for the same result.
 _LOWERED = f"if(octet_length(t) = length(t), lower(t), translate(t, '{_UPPER}', '{_LOWER}'))"
-_PIECES = f"split({let('t', "coalesce(text, '')", _LOWERED)}, r'[.,;:!?\n\u000b\u000c\r]')"
-# Words of a piece. Most pieces have single spaces only: a plain split, and no empty texts but at its ends.
-_FIRST = "int(p[0] = '')"
-_PLAIN = let("p", "split(piece, ' ')", f"slice(p, 1 + {_FIRST}, size(p) - {_FIRST} - int(size(p) > 1 and p[size(p) - 1] = ''))")
-_BLANKS = r"filter(split(piece, r'[ \t]+'), w -> w != '')"
-_WORDS = f"if(contains(piece, '  ') or contains(piece, '\t'), {_BLANKS}, {_PLAIN})"
+# A piece ends with a word of its own, a line feed; all words stand between single spaces. Blanks before
+# the end of a piece are taken with it from the first one on only, so a long run of them is read once.
+_END = r".,;:!?\n\u000b\u000c\r"
+_ENDED = f"regexp_replace(t, r'(?<![ \\t])[ \\t]*+[{_END}][{_END} \\t]*+', ' \\n ')"
+_SPACED = r"if(contains(t, '  ') or contains(t, '\t'), regexp_replace(t, r'[ \t]++', ' '), t)"
 
 
 def _columns(n: int) -> list[str]:
@@ -65,11 +64,14 @@ def _columns(n: int) -> list[str]:
 
 def _leads(docs: DataFrame, n: int) -> DataFrame:
     """One row per word: language and the word with the n - 1 next ones of its piece, NULL beyond its end."""
-    padding = ", ".join(["null"] * (n - 1))
-    words = f"flatten(transform({_PIECES}, piece -> concat({_WORDS}, array({padding})))) as ws"
-    # Outer, since otherwise a filter is inferred that makes the words twice more.
-    placed = docs.selectExpr("coalesce(lang, 'und') as lang", words).selectExpr("lang", "ws", "posexplode_outer(ws) as (i, w1)")
-    return placed.filter("w1 is not null").selectExpr("lang", "w1", *[f"get(ws, i + {k}) as w{k + 1}" for k in range(1, n)])
+    texts = docs.selectExpr("coalesce(lang, 'und') as lang", "coalesce(text, '') as t").selectExpr("lang", f"{_LOWERED} as t")
+    words = texts.selectExpr("lang", f"{_ENDED} as t").selectExpr("lang", f"split({_SPACED}, ' ') as ws")
+    # Outer, since otherwise a filter is inferred that makes the words twice more. Empty words stand at the ends of a text only.
+    leads = words.selectExpr("lang", "ws", "posexplode_outer(ws) as (i, w1)").filter("w1 <> '' and w1 <> '\n'")
+    for k in range(2, n + 1):
+        leads = leads.withColumn("_next", F.expr(f"if(w{k - 1} is null, null, get(ws, i + {k - 1}))"))
+        leads = leads.withColumn(f"w{k}", F.expr("if(_next = '\n' or _next = '', null, _next)"))
+    return leads.select("lang", *_columns(n))
 
 
 def _hash(length: int) -> str:
