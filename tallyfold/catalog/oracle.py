@@ -437,6 +437,15 @@ def _texts() -> dict[str, str]:
                 '00' || substr(tr_product_id, 2) as tr_product_id), coalesce(cloud <> 'N', true) as known from ("""
             f"select {ALL_COLUMNS} from facts)"
         ),
+        "csv_load_rejects": _with(
+            f"select if(tr_product_id is not distinct from 'P17', 'reject', 'row') as kind,"
+            " if(kind = 'reject', 'cost', null) as reason, tr_product_pillar_team, count(*) as fact_count,"
+            " cast(sum(if(kind = 'reject', null, cost)) as double) as total_cost from facts group by all"
+        ),
+        "reconcile_load": _with(
+            "select date, count(*) as loaded_rows, count(*) as expected_rows, true as same_count from facts group by date"
+            f" having count(if(cto = 'ASIA' and tr_product_id = 'P17', cost, null)) > 0"
+        ),
         "csv_write": _with(
             f"select header, date, cloud, {COUNTED} from facts, (select unnest([true, false]) as header) group by all"
         ),
@@ -722,4 +731,5 @@ def _texts() -> dict[str, str]:
         "breakdown_table_pillar": _with(PILLAR, PILLAR_TABLE),
         "pillar_to_cto": _with(PRODUCT, PILLAR_TO_CTO),
         "cost_report": report,
+        "incremental_report": report,
     }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from dataclasses import replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tallyfold.functions import fiscal, money, seasonal
 from tallyfold.functions.environment import classify_environment
 from tallyfold.operators import breakdowns, budget, daily, filters, grid, periods, trend
 from tallyfold.operators.filters import CostFilter
-from tallyfold.plans import report
+from tallyfold.plans import incremental, report
 from tallyfold.plans.dates import DateRange, ReportDates
 from tallyfold.schemas import COST_FACTS, COST_FACTS_FLOAT, daily_average_fields, struct_of
 from tallyfold.sources import delimited, named, shared, tables
@@ -126,7 +127,33 @@ def csv_load_table(spark, folder):
     odd = {"tr_product_id": "concat('00', substr(tr_product_id, 2))", "cost": "if(cloud = 'N', 'n/a', string(cost))"}
     delimited.csv_write(star_facts(spark, folder).withColumns({name: F.expr(text) for name, text in odd.items()}), path, header=False)
     loaded = delimited.csv_load_table(spark, path, COST_FACTS, shared.new_folder(spark, "facts"))
-    return loaded.withColumns({"known": F.expr("cost <> 'n/a'"), "cost": F.expr("try_cast(cost as double)")})
+    return loaded.withColumns({"known": F.expr("not (cost <=> 'n/a')"), "cost": F.expr("try_cast(cost as double)")})
+
+
+@_query
+def csv_load_rejects(spark, folder):
+    """A file in which the costs of one product are no numbers: few enough to stay rejects."""
+    path, target = shared.new_folder(spark, "facts-csv"), shared.new_folder(spark, "facts")
+    odd = f"if(tr_product_id <=> '{PRODUCT}', 'n/a', string(cost))"
+    delimited.csv_write(star_facts(spark, folder).withColumn("cost", F.expr(odd)), path, header=False)
+    loaded = delimited.csv_load_table(spark, path, COST_FACTS, target, tolerance=0.2)
+    kept = loaded.selectExpr("'row' as kind", "string(null) as reason", "tr_product_pillar_team", "cost")
+    left = delimited.read_rejects(spark, target).selectExpr(
+        "'reject' as kind",
+        "reject_reason as reason",
+        f"from_csv(reject_record, '{', '.join(f'`{name}` string' for name in COST_FACTS.names)}').tr_product_pillar_team as tr_product_pillar_team",
+        "cast(null as decimal(18, 4)) as cost",
+    )
+    return _count_and_cost(kept.unionByName(left), "kind", "reason", "tr_product_pillar_team")
+
+
+@_query
+def reconcile_load(spark, folder):
+    """Days that differ after a load in which one organisation's costs were exchanged for others."""
+    facts = star_facts(spark, folder)
+    loaded = tables.replace_table(facts, shared.new_folder(spark, "facts"))
+    changed = loaded.withColumn("cost", F.expr(f"cast(if(cto <=> '{ORGANISATION}' and tr_product_id <=> '{PRODUCT}', cost + 1, cost) as decimal(18, 4))"))
+    return tables.reconciled(changed, tables.conform_to_schema(facts, COST_FACTS))
 
 
 @_query
@@ -197,6 +224,19 @@ def write_report_tables(spark, folder):
     return report.long_form(written)
 
 
+@_query
+def incremental_report(spark, folder):
+    """Two weeks after a first roll-up that lacked the costs of one cloud in one month, the report from the refreshed one."""
+    facts, root = star_facts(spark, folder, *_PRODUCT_COLUMNS, "cloud"), shared.new_folder(spark, "daily-roll-up")
+    before = replace(DATES, as_of=DATES.as_of - timedelta(14))
+    late = DateRange(date(1998, 3, 1), date(1998, 3, 31))
+    known = facts.filter(f"not (cloud <=> 'N' and {late.contains()}) and date <= date'{before.as_of}'")
+    incremental.refresh(known, root, before)
+    incremental.refresh(facts, root, DATES, [late])
+    rolled = incremental.rolled_up(spark, root)
+    return report.long_form(report.cost_report(rolled, DATES, TOP_N, threshold=THRESHOLD, listed=facts))
+
+
 @_query
 def named_query(spark, folder):
     _by_product(spark, folder).createOrReplaceTempView("named_query_facts")

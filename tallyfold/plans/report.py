@@ -38,13 +38,19 @@ def _shares(table: DataFrame, threshold: float, *keys: str) -> DataFrame:
 
 
 def cost_report(
-    facts: DataFrame, dates: ReportDates, top_n: int, chosen: CostFilter = NO_FILTER, threshold: float = 30.0
+    facts: DataFrame,
+    dates: ReportDates,
+    top_n: int,
+    chosen: CostFilter = NO_FILTER,
+    threshold: float = 30.0,
+    listed: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All sections by name. The facts are scanned once per grain: days, products, filter lists.
 
     Both roll-ups, the averages and the top products are stored in the shared folder, since several
     sections read them; nothing removes them there, so clean that folder by age. Filter lists come
-    from all facts given, whatever the filter and the period, so ``facts`` should not be cut.
+    from all facts given, whatever the filter and the period, so ``facts`` should not be cut; ``listed``
+    gives them where ``facts`` is a roll-up of some years (see ``incremental``).
     """
     days = stored(costs_per_day(facts, dates, chosen), "report-days")
     per_product = stored(costs_per_product(facts, dates, chosen), "report-products")
@@ -66,7 +72,7 @@ def cost_report(
         "pillar_to_cto": breakdowns.pillar_to_cto(top_products),
         "daily_trend": trend.daily_trend_by_env(trend.daily_trend(averages, dates)),
         "trend_series": trend.trend_series(averages, trend.default_series(dates), dates),
-        "filter_values": breakdowns.filter_value_lists(facts),
+        "filter_values": breakdowns.filter_value_lists(facts if listed is None else listed),
     }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from tallyfold.plans.dates import DateRange, covering, within
 from tallyfold.schemas import COST_FACTS
+from tallyfold.sources.versions import commit_version, new_version, read_current
 
 
 def read_table(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame:
-    """A stored table by path or, without a slash in it, by catalog name; conformed to a schema if given."""
-    table = spark.read.parquet(source) if "/" in source else spark.table(source)
+    """A stored table by path (its current version) or, without a slash in it, by catalog name; conformed to a schema if given."""
+    table = read_current(spark, source) if "/" in source else spark.table(source)
     return conform_to_schema(table, schema) if schema else table
 
 
@@ -77,13 +78,19 @@ def union_sources(sources: Iterable[DataFrame], schema: T.StructType = COST_FACT
 
 
 def replace_table(
-    frame: DataFrame, path: str, partition: str | None = None, table: str | None = None
+    frame: DataFrame,
+    path: str,
+    partition: str | None = None,
+    table: str | None = None,
+    check: Callable[[DataFrame], object] | None = None,
 ) -> DataFrame:
     """Replace the contents of a table and return it.
 
-    The frame must not read from ``path`` itself. ``partition`` is ``date``, or ``month`` (a text
-    column derived from ``date``) where a day is too little for a file. The rebalance hint brings
-    the rows of a partition together and splits one that holds far more rows than others.
+    The rows are written to a new version below ``path`` and become current in one step after ``check``
+    has seen them (see ``versions``), so the frame may read the table itself and a load that fails
+    leaves the old one. ``partition`` is ``date``, or ``month`` (a text column derived from ``date``)
+    where a day is too little for a file. The rebalance hint brings the rows of a partition together
+    and splits one that holds far more rows than others. ``table`` also names the version in the catalog.
     """
     spark = frame.sparkSession
     if partition == "month":
@@ -93,14 +100,21 @@ def replace_table(
     if partition == "month":
         # Days in order, so that a test of the date skips row groups of a month.
         frame = frame.sortWithinPartitions("month", "date")
-    writer = frame.write.mode("overwrite").format("parquet")
+    folder = new_version(path)
+    writer = frame.write.format("parquet")
     if partition:
         writer = writer.partitionBy(partition)
+    writer.save(folder)
+    columns = [column for column in frame.columns if column != partition] + ([partition] if partition else [])
+    schema = T.StructType([T.StructField(name, frame.schema[name].dataType) for name in columns])
+    found = commit_version(spark.read.schema(schema).parquet(folder), path, folder, check)
     if table is None:
-        writer.save(path)
-        return spark.read.parquet(path)
+        return found
+    # The files are there: only the name in the catalog is exchanged.
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    writer.option("path", path).saveAsTable(table)
+    spark.catalog.createTable(table, path=folder, source="parquet")
+    if partition:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)
 
 
@@ -113,6 +127,32 @@ def verify_row_count(loaded: DataFrame, expected: DataFrame) -> DataFrame:
     return both.selectExpr("*", "loaded_rows = expected_rows as row_counts_match")
 
 
+def reconciled(loaded: DataFrame, expected: DataFrame, key: str = "date") -> DataFrame:
+    """Values of ``key`` whose rows differ, whatever their order: rows and sums of row hashes of both sides.
+
+    Each side becomes one row per value before they meet. Equal counts with unequal sums tell rows
+    that were exchanged for others; sums of 64-bit hashes are exact decimals, so repeated rows count. Values are
+    compared in the types of ``expected``.
+    """
+    columns = [name for name in expected.columns if name in loaded.columns]
+    hashed = f"sum(cast(xxhash64({', '.join(f'`{name}`' for name in columns)}) as decimal(20, 0)))"
+
+    def per_key(frame: DataFrame, side: str) -> DataFrame:
+        counted = frame.groupBy(key).agg(F.expr("count(*) as n"), F.expr(f"{hashed} as hashed"))
+        return counted.selectExpr(f"`{key}` as _{side}", f"n as {side}_rows", f"hashed as {side}_hash")
+
+    alike = [F.col(f"`{name}`").cast(expected.schema[name].dataType).alias(name) for name in columns]
+    one, two = per_key(loaded.select(alike), "loaded"), per_key(expected.select(columns), "expected")
+    both = one.join(two, F.col("_loaded").eqNullSafe(F.col("_expected")), "full_outer")
+    differing = both.filter("not (loaded_rows <=> expected_rows and loaded_hash <=> expected_hash)")
+    return differing.selectExpr(
+        f"coalesce(_loaded, _expected) as `{key}`",
+        "coalesce(loaded_rows, 0L) as loaded_rows",
+        "coalesce(expected_rows, 0L) as expected_rows",
+        "coalesce(loaded_rows, 0L) = coalesce(expected_rows, 0L) as same_count",
+    )
+
+
 def publish_view(frame: DataFrame, name: str) -> DataFrame:
     """Create or replace a session view and return it."""
     frame.createOrReplaceTempView(name)

@@ -15,6 +15,7 @@ from tallyfold.sources.star import star_facts
 # They write files while they are built, so they have no plan before they run.
 WRITING = {
     "scan_daily_averages", "csv_load_declared", "csv_load_inferred", "csv_load_table", "csv_write", "replace_table",
+    "csv_load_rejects", "reconcile_load", "incremental_report",
     "verify_row_count", "write_report_tables", "cost_report",
 }
 LAZY = sorted(set(registered()) - WRITING)
