@@ -23,7 +23,7 @@ Defined results: positions count code points, ends are exclusive; a NULL text is
 rows each get a row and each add to the false discovery tables; an empty table gives an empty
 result. Spans of the method have the kind ``random`` and may lie on known ones, which all stay.
 
-At scale: one pass over the texts writes spans and candidates (narrow) to the shared folder. The
+At scale: time grows with the length of a text, however many matches it has. One pass over the texts writes spans and candidates (narrow) to the shared folder. The
 only other exchange is the count of p-values, 3 classes of 401 steps.
 """
 
@@ -58,18 +58,31 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
-def _spans(pattern: str, keep: str = "true") -> str:
+_BLOCK = 128
+
+
+def _starts(lengths: str) -> str:
+    """SQL text of the running sums before each element of a non-empty array, appended per block so that no long array is copied per element."""
+    blocks = f"transform(sequence(0, (size(ls) - 1) div {_BLOCK}), b -> slice(ls, b * {_BLOCK} + 1, {_BLOCK}))"
+    running = "aggregate({0}, array(0), (a, n) -> array_append(a, element_at(a, -1) + n))"
+    inner = f"transform({blocks}, block -> {running.format('block')})"
+    bases = running.format("transform(sums, a -> element_at(a, -1))")
+    moved = "flatten(transform(sums, (a, b) -> transform(slice(a, 1, size(a) - 1), n -> n + bases[b])))"
+    return let("ls", lengths, let("sums", inner, let("bases", bases, moved)))
+
+
+def _spans(pattern: str, keep: str = "true", text: str = "t", extra: str = "") -> str:
     """SQL text of the spans (start, end) of a pattern, leftmost and not overlapping.
 
     Splitting on the pattern gives the texts between the matches; sums of lengths give positions.
-    ``keep`` is a test of ``m`` (number of the match from 0).
+    ``keep`` is a test of ``m`` (number of the match from 0), ``extra`` a further field of the span.
     """
-    ends = "transform(sequence(0, size(ms) - 1), m -> length(gaps[m]) + length(ms[m]))"
-    running = f"aggregate({ends}, array(0), (a, n) -> array_append(a, element_at(a, -1) + n))"
-    places = let("at", running, f"transform(filter(sequence(0, size(ms) - 1), m -> {keep}), m -> struct(at[m] + length(gaps[m]) as s, at[m + 1] as e))")
-    none = "cast(array() as array<struct<s: int, e: int>>)"
-    matched = let("ms", f"regexp_extract_all(t, r'{pattern}', 0)", let("gaps", f"split(t, r'{pattern}')", places))
-    return f"if(t rlike r'{pattern}', {matched}, {none})"
+    ends = "transform(ms, (x, m) -> length(gaps[m]) + length(x))"
+    span = f"struct(at[m] + length(gaps[m]) as s, at[m] + length(gaps[m]) + length(ms[m]) as e{extra})"
+    places = let("at", _starts(ends), f"transform(filter(sequence(0, size(ms) - 1), m -> {keep}), m -> {span})")
+    matched = let("ms", f"regexp_extract_all({text}, r'{pattern}', 0)", let("gaps", f"split({text}, r'{pattern}')", places))
+    kind = "struct<s: int, e: int, x: string>" if extra else "struct<s: int, e: int>"
+    return f"if({text} rlike r'{pattern}', {matched}, cast(array() as array<{kind}>))"
 
 
 def _tail(z: str) -> str:
@@ -125,26 +138,35 @@ def _battery(text: str, alpha: float, text_repeat: float) -> str:
 
 
 def _found(docs: DataFrame, alpha: float, text_repeat: float) -> DataFrame:
-    """One row per document: spans of known shapes, candidates with class and step of their p-value."""
+    """One row per document: spans of known shapes, candidates (each with its parts) with class and step of their p-value."""
     texts = docs.selectExpr("doc_id", "coalesce(text, '') as t")
     assign = let("gs", f"regexp_extract_all(t, r'{_ASSIGN}', 2)", _spans(_ASSIGN, "length(gs[m]) >= 6"))
-    lettered = "x rlike '[A-Za-z]'"
     step = f"int(least({STEPS}, floor(-ln(greatest(p, 1e-300D)) * {STEP}D)))"
-    tested = let("p", _battery("x", alpha, text_repeat), f"struct(c.s, c.e, int(c.e - c.s >= 32) + int(c.e - c.s >= 64) as class, {step} as step, array_contains(wholes, c) as whole)")
-    each = f"transform(array_union(wholes, {_spans(_PART)}), c -> {let('x', 'substr(t, c.s + 1, c.e - c.s)', f'if({lettered}, {tested}, null)')})"
-    candidates = let("wholes", _spans(_CANDIDATE), f"{each}")
+
+    def tested(span: str, offset: str) -> str:
+        """A candidate with class and step; NULL without a letter."""
+        size = f"({span}.e - {span}.s)"
+        place = f"{offset} + {span}.s as s, {offset} + {span}.e as e, int({size} >= 32) + int({size} >= 64) as class"
+        body = let("p", _battery(f"{span}.x", alpha, text_repeat), f"struct({place}, {step} as step)")
+        return f"if({span}.x rlike '[A-Za-z]', {body}, null)"
+
+    # A part lies in exactly one whole, and is looked for there.
+    parts = f"transform(filter({_spans(_PART, text='w.x', extra=', ms[m] as x')}, c -> c.e - c.s < w.e - w.s), c -> {tested('c', 'w.s')})"
+    group = f"struct({tested('w', '0')} as whole, filter({parts}, c -> c is not null) as parts)"
+    groups = f"transform({_spans(_CANDIDATE, extra=', ms[m] as x')}, w -> {group})"
     return texts.selectExpr(
         "doc_id",
         f"{assign} as assign",
         f"{_spans(_ACCESS)} as access",
         f"{_spans(_HEX)} as hex",
-        f"filter({candidates}, c -> c is not null) as candidates",
+        f"filter({groups}, g -> g.whole is not null) as candidates",
     )
 
 
 def _cuts(found: DataFrame, rate: float) -> DataFrame:
     """Per length class the largest p-value step that Benjamini and Hochberg's rule accepts."""
-    each = found.selectExpr("inline(candidates)").groupBy("class", "step").agg(F.expr("count(*) as n"))
+    listed = found.selectExpr("inline(flatten(transform(candidates, g -> concat(array(g.whole), g.parts))))")
+    each = listed.groupBy("class", "step").agg(F.expr("count(*) as n"))
     total = "sum(n) over (partition by class)"
     upto = "sum(n) over (partition by class order by step desc)"
     accepted = each.selectExpr("class", "step", f"{upto} as rank", f"{total} as total").filter(f"exp(-step / {STEP}D) <= {rate}D * rank / total")
@@ -158,8 +180,10 @@ def secrets(
     found = stored(_found(docs, alpha, text_repeat), "secret-spans")
     cuts = {row["class"]: row["cut"] for row in _cuts(found, rate).collect()}  # three rows at most
     tests = " or ".join(f"(c.class = {size} and c.step >= {cut})" for size, cut in sorted(cuts.items())) or "false"
-    alone = "filter(cs, c -> c.whole or not exists(cs, w -> w.whole and w.s <= c.s and w.e >= c.e))"
-    reported = let("cs", f"filter(candidates, c -> {tests})", f"transform(array_sort({alone}), c -> struct(c.s, c.e))")
+    # Wholes are in order and apart, and so are the parts of each.
+    passed = f"transform(candidates, g -> concat(filter(array(g.whole), c -> {tests}), filter(g.parts, c -> {tests})))"
+    alone = f"transform({passed}, (cs, i) -> if(size(cs) > 1 and cs[0].e = candidates[i].whole.e and cs[0].s = candidates[i].whole.s, slice(cs, 1, 1), cs))"
+    reported = f"transform(flatten({alone}), c -> struct(c.s, c.e))"
     return found.selectExpr("doc_id", "assign", "access", "hex", f"{reported} as random")
 
 

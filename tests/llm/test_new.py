@@ -3,13 +3,14 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
 from compare import difference, duckdb_on, oracle_rows, spark_rows
 from pyspark.sql import functions as F
 
-from tallyfold.llm import collocations, decontamination, main_text, oracle, periodic_runs
+from tallyfold.llm import collocations, decontamination, main_text, oracle, periodic_runs, secrets
 from tallyfold.llm.common import table
 from tallyfold.llm.queries import llm_queries
 
@@ -300,3 +301,53 @@ def test_texts_are_exchanged_alike_at_every_size(spark, folder):
         assert plan.count("documents.parquet") == 2
         plans.append(re.findall(r"(\w+Join) \[(?:coalesce\()?(?:id|doc_id)#", plan))
     assert plans[0] == plans[1] == ["SortMergeJoin"] * 2
+
+
+# Secrets
+
+
+def _base_spans_by_regex(text):
+    found = {"assign": [], "access": [], "hex": []}
+    for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.ASCII):
+        if len(m[1]) >= 6:
+            found["assign"].append(m.span())
+    found["access"] = [m.span() for m in re.finditer(r"AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    found["hex"] = [m.span() for m in re.finditer(r"[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    return found
+
+
+def test_base_spans_as_by_regex(spark):
+    rng = random.Random(4)
+    kinds = ["token = {}", "PassWord:'{}'", "api_key=\"{}", "{}", "AKIA{}", "é{}ß", "x/{}-{}", "secret:: {}"]
+    alphabets = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghij", "01"]
+
+    def word():
+        letters = rng.choice(alphabets)
+        return "".join(rng.choice(letters) for _ in range(rng.randint(3, 44)))
+
+    texts = [rng.choice([" ", "\n", ""]).join(rng.choice(kinds).format(word(), word()) for _ in range(rng.choice([0, 1, 127, 128, 129, 400]))) for _ in range(40)]
+    rows = secrets.secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        expected = _base_spans_by_regex(texts[row.doc_id])
+        assert {kind: [tuple(c) for c in row[kind]] for kind in expected} == expected
+
+
+def test_many_matches_in_one_text_take_time_in_proportion(spark):
+    rng = random.Random(6)
+    text = "é " + " ".join("".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(40_000))
+    started = time.monotonic()
+    row = secrets.digest(secrets.secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
+    assert row.n_hex == 40_000 and row.n_random > 39_000 and time.monotonic() - started < 100  # minutes before, without an end
+
+
+def test_a_part_is_not_reported_beside_its_whole(spark):
+    rng = random.Random(8)
+
+    def key(n):
+        return "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+
+    texts = [f"see {key(40)}/{key(40)} end", f"see the-long-path-of-words-and-words/of-many-parts-in-it/{key(48)} end"]
+    rows = {r.doc_id: [tuple(c) for c in r.random] for r in secrets.secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert rows[0] == [(4, 85)]
+    assert rows[1] == [(len(texts[1]) - 52, len(texts[1]) - 4)]
