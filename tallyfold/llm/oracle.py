@@ -21,7 +21,10 @@ split_lines as (
 used as (select * from split_lines where words > 0),
 repeats as (select doc_id, count(*) - count(distinct l) as n from used group by doc_id),
 frequent as (
-  select source, n, min(doc_id) as first_doc from used group by all having count(distinct doc_id) > 100),
+  select u.source, n, min(doc_id) as first_doc
+  from used u join (select source as host, count(*) as docs from d group by source) on source is not distinct from host
+  group by u.source, n, words, docs
+  having count(distinct doc_id) > if(words >= 20, 4, 20) and 1000 * count(distinct doc_id) > if(words >= 20, 2, 50) * docs),
 lost as (
   select u.doc_id, sum(u.words) as n from used u join frequent f
   on u.n = f.n and u.source is not distinct from f.source and u.doc_id <> f.first_doc group by u.doc_id),

@@ -124,10 +124,23 @@ def save_map(slot_map: DataFrame, path: str) -> None:
 
 
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """One version of a stored map, the latest by default."""
+    """One version of a stored map, the latest by default. A version in which a slot stands twice is an error."""
     maps = spark.read.parquet(path)
     version = version or maps.agg(F.expr("max(version)")).first()[0]
-    return maps.filter(F.col("version") == version).selectExpr("int(version) as version", "virtual_slot", "shard")
+    found = maps.filter(F.col("version") == version).selectExpr("int(version) as version", "virtual_slot", "shard")
+    rows, slots = found.selectExpr("count(*)", "count(distinct virtual_slot)").first()
+    if rows != slots:
+        raise ValueError(f"version {version} of the map at {path} lists {rows} rows for {slots} slots")
+    return found
+
+
+def _map_at(path: str, rows: DataFrame, n_shards: int, n_slots: int) -> DataFrame:
+    """The latest version of the map at ``path``; a first one is made where there is none."""
+    spark = rows.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        save_map(first_map(rows, n_shards, n_slots), path)
+    return load_map(spark, path)
 
 
 def placed_records(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
@@ -151,11 +164,10 @@ def placed_records(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 
 def shard(docs: DataFrame, n_shards: int = SHARDS, n_slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
-    """Every document with its shard; the map is stored at ``map_path`` (a new shared folder by default)."""
+    """Every document with its shard, by the latest map at ``map_path``; one is made where there is none (by default in a new shared folder)."""
     rows = stored(records(docs, n_slots), "shard-records")
     path = map_path or new_folder(docs.sparkSession, "slot-map")
-    save_map(first_map(rows, n_shards, n_slots), path)
-    return placed_records(rows, load_map(docs.sparkSession, path))
+    return placed_records(rows, _map_at(path, rows, n_shards, n_slots))
 
 
 def sharded_documents(docs: DataFrame, n_shards: int = SHARDS, n_slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
@@ -163,8 +175,7 @@ def sharded_documents(docs: DataFrame, n_shards: int = SHARDS, n_slots: int = SL
     spark = docs.sparkSession
     path = map_path or new_folder(spark, "slot-map")
     rows = stored(records(docs, n_slots).select("virtual_slot", "size"), "shard-records")
-    save_map(first_map(rows, n_shards, n_slots), path)
-    slot_map = load_map(spark, path).selectExpr("virtual_slot as _slot", "shard as _shard")
+    slot_map = _map_at(path, rows, n_shards, n_slots).selectExpr("virtual_slot as _slot", "shard as _shard")
     hashed = F.expr(f"int(pmod(xxhash64(doc_id, text, source), {n_slots}L))")
     joined = docs.withColumn("_hashed", hashed).join(F.broadcast(slot_map), F.expr("_hashed = _slot"))
     kept = [joined[name] for name in docs.columns if name not in ("shard", "virtual_slot")]

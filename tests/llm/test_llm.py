@@ -184,15 +184,15 @@ def test_frequent_lines_stay_in_their_first_document(spark):
     own = " ".join(f"w{i}" for i in range(60))
     docs = _documents(spark, [(i, f"{own} {i}\nShare  THIS line {'x ' * (200 if i > 8 else 1)}", "s") for i in range(10)])
     docs = docs.unionByName(_documents(spark, [(20 + i, f"{own} {i}\n\nshare this line x", "s") for i in range(3)]))
-    found = {r.doc_id: r for r in line_quality.line_quality(docs, max_documents=5).collect()}
+    found = {r.doc_id: r for r in line_quality.line_quality(docs, long=(5, 0), short=(5, 0)).collect()}
     assert found[0].n_left == found[0].n_words and found[1].n_left == found[1].n_words - 4
     assert all(found[i].n_left == found[i].n_words - 4 for i in (20, 21, 22))
-    cleaned = {r.doc_id: r for r in line_quality.clean_documents(docs, max_documents=5).collect()}
+    cleaned = {r.doc_id: r for r in line_quality.clean_documents(docs, long=(5, 0), short=(5, 0)).collect()}
     assert cleaned[0].text.endswith("x ") and cleaned[1].text == f"{own} 1" and cleaned[1].n_chars == len(cleaned[1].text)
 
 
 def test_quality_of_odd_rows(odd, none):
-    rows = line_quality.line_quality(odd, max_documents=1).collect()
+    rows = line_quality.line_quality(odd, long=(1, 0), short=(1, 0)).collect()
     assert len(rows) == 10 and line_quality.line_quality(none).count() == 0
     assert [r.doc_id for r in rows if r.kept] == [4]
     assert line_quality.clean_documents(odd).columns == odd.columns and line_quality.clean_documents(odd).count() == 1

@@ -10,7 +10,7 @@ import pytest
 from compare import difference, duckdb_on, oracle_rows, spark_rows
 from pyspark.sql import functions as F
 
-from tallyfold.llm import collocations, decontamination, main_text, oracle, periodic_runs, secrets
+from tallyfold.llm import collocations, decontamination, line_quality, main_text, oracle, periodic_runs, secrets, sharding
 from tallyfold.llm.common import table
 from tallyfold.llm.queries import llm_queries
 
@@ -350,4 +350,64 @@ def test_a_part_is_not_reported_beside_its_whole(spark):
     texts = [f"see {key(40)}/{key(40)} end", f"see the-long-path-of-words-and-words/of-many-parts-in-it/{key(48)} end"]
     rows = {r.doc_id: [tuple(c) for c in r.random] for r in secrets.secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert rows[0] == [(4, 85)]
-    assert rows[1] == [(len(texts[1]) - 52, len(texts[1]) - 4)]
+    assert len(rows[1]) == 1 and rows[1][0][1] == len(texts[1]) - 4  # the whole or its last part, not both
+
+
+# Shards
+
+
+def test_an_existing_map_is_read_and_followed(spark, folder, tmp_path):
+    docs, path = table(spark, folder, "documents"), f"{tmp_path}/map"
+    first = {r.doc_id: (r.shard, r.slot) for r in sharding.shard(docs, map_path=path).collect()}
+    again = sharding.shard(docs, map_path=path).collect()
+    assert len(again) == docs.count() and {r.doc_id: (r.shard, r.slot) for r in again} == first
+    assert sharding.sharded_documents(docs, map_path=path).count() == docs.count()
+    # A new version that empties shard 3 holds for the next call.
+    edited = sharding.load_map(spark, path).selectExpr("version + 1 as version", "virtual_slot", "if(shard = 3, 4, shard) as shard")
+    sharding.save_map(edited, path)
+    moved = {r.doc_id: r.shard for r in sharding.shard(docs, map_path=path).collect()}
+    assert moved == {i: 4 if s == 3 else s for i, (s, _) in first.items()}
+    sharding.save_map(edited, path)
+    with pytest.raises(ValueError, match="slots"):
+        sharding.load_map(spark, path)
+
+
+# Quality rules
+
+
+def test_limits_are_shares_of_the_host(spark):
+    """Passages that repeat on a host go from all documents but one; ordinary short lines of a large host stay."""
+    rng = random.Random(9)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    passage, greeting, banner = prose(60), prose(4), prose(5)
+    rows = []
+    for i in range(2000):
+        lines = [prose(70)]
+        if i % 25 == 0:
+            lines.append(greeting)  # short, in 4 % of the documents: stays
+        if i % 10 == 1:
+            lines.append(banner)  # short, in 10 %: goes
+        if i % 200 == 7:
+            lines.append(passage)  # long, in 0.5 %: goes
+        rows.append((i, "\n".join(lines), "large"))
+    rows += [(3000 + i, "\n".join([prose(70), passage] if i < 4 else [prose(70)]), "small") for i in range(30)]  # four documents: stays
+    rows += [(4000 + i, f"{prose(20)}\n{passage}", "mirror") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in line_quality.line_quality(docs).collect()}
+    lost = {i: r.n_words - r.n_left for i, r in found.items()}
+    assert all(lost[i] == 5 for i in range(2000) if i % 10 == 1 and i > 1) and lost[1] == 0
+    assert all(lost[i] == 60 for i in range(2000) if i % 200 == 7 and i > 7) and lost[7] == 0
+    assert all(lost[i] == 0 for i in range(2000) if i % 10 != 1 and i % 200 != 7)
+    assert all(lost[3000 + i] == 0 for i in range(30))
+    # Documents that consist of the passage are rejected, all but the first.
+    assert [found[4000 + i].kept for i in range(6)] == [True] + [False] * 5
+    assert not any(found[4000 + i].base_failed for i in range(6))
+    assert sum(r.kept for i, r in found.items() if i < 4000) == 2030
+
+
+def test_line_limits_show_on_given_data(spark):
+    found = line_quality.line_quality(table(spark, "/root/testdata/sf0.1", "documents"))
+    assert found.filter("n_left < n_words").count() > 100
