@@ -288,6 +288,75 @@ def test_co_training_separates_labelled_documents(spark, odd, none):
     assert {r.quality_score for r in co_training.scored(odd, labels.filter("false")).collect()} == {0.5}
 
 
+def test_co_training_on_labels_it_never_saw(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", name) for name in ("documents", "labels"))
+    rows = co_training.scored(docs, labels.filter("doc_id % 3 <> 0")).join(labels.filter("doc_id % 3 = 0"), "doc_id").collect()
+    assert len(rows) > 1000
+    assert np.mean([(r.quality_score >= 0.5) == (r.quality == 1) for r in rows]) > 0.95
+    assert np.mean([(r.toxic_score > 0.5) == (r.toxic == 1) for r in rows]) > 0.95
+    assert np.mean([r.toxic_score > 0.5 for r in rows if r.toxic]) > 0.7
+    assert np.mean([r.kept for r in rows if r.quality == 1 and not r.toxic]) > 0.95
+
+
+def test_exchange_of_pseudo_labels_by_brute_force(spark, monkeypatch):
+    """One round against plain Python over the same traits; a third of the rows are copies of one document."""
+    monkeypatch.setattr(co_training, "SURE", 0.5)
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    many = docs.orderBy("doc_id").limit(1).crossJoin(spark.range(50)).drop("id")
+    pool = co_training.features(docs.unionByName(many))
+    rows = pool.collect()
+    order = np.random.default_rng(1)
+    labels = {"quality": order.integers(0, 2, len(rows)), "toxic": order.integers(0, 2, len(rows))}
+    models = {}
+    for target, known in labels.items():
+        models[target] = []
+        for name, size, _ in co_training.VIEWS:
+            counts = co_training.Counts(size)
+            for label in (0, 1):
+                counts.add(label, [np.array(r[name], np.int64) for r, k in zip(rows, known) if k == label])
+            models[target].append(co_training.View(counts, 0.0, [np.array(r[name], np.int64) for r in rows], known.astype(float)))
+    priors = {"quality": 0.7, "toxic": 0.2}
+    found = co_training.exchange(pool, models, priors, 0.3)
+    different = {r.same: r for r in rows}
+    some = 0
+    for target, pair in models.items():
+        for v, (name, _, _) in enumerate(co_training.VIEWS):
+            other = co_training.VIEWS[1 - v][0]
+            step = {}
+            for same, r in different.items():
+                odds = pair[v].slope * sum(pair[v].weights[np.array(r[name], np.int64)]) + pair[v].offset
+                step[same] = int(np.floor(odds * co_training.STEPS))
+            for label, part in ((0, 1 - priors[target]), (1, priors[target])):
+                own = {s: n for s, n in step.items() if (n >= 32 if label else n < -32)}
+                wanted, taken = round(0.3 * part * len(different)), []
+                for n in sorted(set(own.values()), reverse=label == 1):
+                    here = [s for s in own if own[s] == n]
+                    left = wanted - sum(own[s] * (1 if label else -1) > n * (1 if label else -1) for s in own)
+                    share = min(1.0, max(0.0, left / len(here)))
+                    taken += here if share == 1.0 else [s for s in here if ((s % 2**64) >> 32) / 2**32 < share]
+                counted = Counter(t for s in taken for t in different[s][other])
+                counts = found[target, 1 - v]
+                assert counts.documents[label] == len(taken)
+                assert {t: int(counts.by_trait[label, t]) for t in np.flatnonzero(counts.by_trait[label])} == dict(counted)
+                some += len(taken)
+    assert some > 20
+
+
+def test_calibration_and_weights():
+    order = np.random.default_rng(0)
+    raw = order.normal(0, 40, 4000)
+    slope, offset = co_training.platt(raw, (order.random(4000) < 1 / (1 + np.exp(-(0.05 * raw - 1)))).astype(float))
+    assert abs(slope - 0.05) < 0.01 and abs(offset + 1) < 0.2
+    assert co_training.platt(np.zeros(10), np.array([1.0] + [0.0] * 9))[0] == 0
+    split = co_training.platt(np.array([-5.0, -4, 4, 5]), np.array([0.0, 0, 1, 1]))
+    assert split[0] > 0 and np.isfinite(split).all()
+    counts = co_training.Counts(4).add(0, [np.array([0, 1])] * 90).add(1, [np.array([0, 2])] * 10)
+    found = co_training.weights(counts, 16.0)
+    assert found[0] == found[3] == 0 and found[1] < 0 < found[2]
+    small = co_training.Counts(4).add(1, [np.array([3])] * 1000)
+    assert counts.with_pseudo(small).by_trait[1, 3] == 100
+
+
 def test_capitals_are_a_share_of_the_whole_text():
     """One capital in eight, in a short text, a longer one, and one whose capitals lie between every second character."""
     class Named(dict):
