@@ -404,13 +404,24 @@ def _money_labels() -> str:
     )
 
 
-def _chosen(text: str) -> str:
+def _chosen(text: str, further: str = "") -> str:
     """The same text over the facts of one organisation and pillar."""
     head, tail = text.split(FACTS, 1)
-    view = ", chosen_facts as (select * from facts where cto = 'ASIA' and tr_product_pillar_team = 'PROMO')"
+    view = f", chosen_facts as (select * from facts where cto = 'ASIA' and tr_product_pillar_team = 'PROMO'{further})"
     return head + FACTS + view + re.sub(r"\bfacts\b", "chosen_facts", tail)
 
 
+def _scorecards() -> str:
+    keys = "cto, tr_product_pillar_team, tr_product_id"
+    parts = SUMMARY.replace("select", f"select {keys}, grouping({keys}) as unset,", 1).replace(
+        "from facts", f"from (select * from facts where {YTD} or {FY} or {PRIOR_YTD}) group by cube ({keys})", 1
+    )
+    named = "concat_ws(',', if(unset & 4 = 0, 'cto', null), if(unset & 2 = 0, 'pillar', null), if(unset & 1 = 0, 'product', null))"
+    columns = f"select {named} as chosen_by, cto, tr_product_pillar_team as pillar, tr_product_id as product,"
+    known = " and ".join(f"(unset & {bit} > 0 or {key} is not null)" for bit, key in zip((4, 2, 1), keys.split(", ")))
+    return _with(parts, SCORECARD.replace("select", columns, 1) + f" where {known}")
+
+
 def oracle_texts() -> dict[str, str]:
     """SQL per registered query."""
     texts = _texts()
@@ -419,6 +430,8 @@ def oracle_texts() -> dict[str, str]:
         "filtered_scorecard": _chosen(texts["scorecard"]),
         "filtered_product_costs": _chosen(texts["product_costs"]),
         "filtered_daily_trend": _chosen(trend),
+        # The lists to choose from hold all facts.
+        "filtered_cost_report": _chosen(texts["cost_report"], " and tr_product_id = 'P177'").replace("from chosen_facts where true", "from facts where true"),
     }
 
 
@@ -455,6 +468,7 @@ def _texts() -> dict[str, str]:
             " count(*) = (select count(*) from lineitem) as row_counts_match from facts"
         ),
         "create_daily_average_view": READ_AVERAGES,
+        "stored_daily_averages": READ_AVERAGES,
         "union_sources": _with(
             f"select {ALL_COLUMNS.replace('tr_subpillar_name', 'nullif(tr_subpillar_name, if(cloud = $$N$$, tr_subpillar_name, null)) as tr_subpillar_name')} from facts"
         ),
@@ -618,6 +632,14 @@ def _texts() -> dict[str, str]:
             "select tr_product_pillar_team as pillar_name, count(distinct tr_product_id) as product_count"
             " from facts group by 1"
         ),
+        "sketched_product_counts": _with(
+            """pairs as (select distinct date_trunc('month', date)::date as month, tr_product_pillar_team as pillar_name,
+                tr_product_id as product from facts where date is not null)""",
+            """select month, pillar_name, count(distinct product) as month_products,
+                (select count(distinct q.product) from pairs q where q.pillar_name is not distinct from p.pillar_name
+                   and q.month between p.month - interval 2 month and p.month) as quarter_products
+              from pairs p group by 1, 2""",
+        ),
         "having_nonprod": _with(
             PRODUCT,
             f"select product_name, pillar_team, product_id, cto_org, {AMOUNT_NAMES}"
@@ -703,6 +725,20 @@ def _texts() -> dict[str, str]:
         ),
         "scorecard": _with(SUMMARY, SCORECARD),
         "period_matrix": _with(_period_pairs("all_periods", ALL_PERIODS), "select * from all_periods"),
+        "span_costs": _with(
+            """spans as (
+              select n || ' days to ' || strftime(d, '%Y-%m-%d') as name, (d - n + 1)::date as s, d as e
+              from (select unnest(generate_series(date '1997-02-01', date '1998-08-03', interval 1 day))::date as d), (select unnest([7, 30, 90])::int as n)
+              union all
+              select 'year to ' || strftime(d, '%Y-%m-%d'), if(d < date '1998-02-01', date '1997-02-01', date '1998-02-01'), d
+              from (select unnest(generate_series(date '1997-02-01', date '1998-08-03', interval 1 day))::date as d)
+            ),
+            days as (select date, environment, sum(cost) as cost from facts group by all)""",
+            """select name, environment_type, coalesce(cast(sum(cost) filter (where (environment is not distinct from 'PROD') = (environment_type = 'PROD')) as double), 0) as cost
+              from spans cross join (select unnest(['PROD', 'NON-PROD']) as environment_type)
+              left join days on date between s and e group by 1, 2""",
+        ),
+        "scorecards": _scorecards(),
         "run_rate_forecast": _with(f"select *, ytd_cost * 365 / 183 as forecasted_cost from ({_YTD_ROWS})"),
         "run_rate_forecast_python": _with(f"select *, ytd_cost * 365 / 186 as forecasted_cost from ({_YTD_ROWS})"),
         "growth_forecast": _with(

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions import fiscal, money, seasonal
 from tallyfold.functions.environment import classify_environment
-from tallyfold.operators import breakdowns, budget, daily, filters, grid, periods, trend
+from tallyfold.operators import breakdowns, budget, daily, filters, grid, periods, sketches, spans, subsets, trend
 from tallyfold.operators.filters import CostFilter
-from tallyfold.plans import incremental, report
+from tallyfold.plans import incremental, report, stored_averages
 from tallyfold.plans.dates import DateRange, ReportDates
 from tallyfold.schemas import COST_FACTS, COST_FACTS_FLOAT, daily_average_fields, struct_of
 from tallyfold.sources import delimited, named, shared, tables
@@ -28,6 +28,7 @@ THRESHOLD = 30.0
 MODEL_START = DATES.prior_year.start
 ORGANISATION, PILLAR, PRODUCT = "ASIA", "PROMO", "P17"
 CHOSEN = CostFilter(ORGANISATION, PILLAR)
+CHOSEN_PRODUCT = CostFilter(ORGANISATION, PILLAR, "P177")
 GRID_ENVIRONMENTS = ("PROD", "NON-PROD")
 GRID_CLOUDS = ("A", "N", "R")
 
@@ -237,6 +238,17 @@ def incremental_report(spark, folder):
     return report.long_form(report.cost_report(rolled, DATES, TOP_N, threshold=THRESHOLD, listed=facts))
 
 
+@_query
+def stored_daily_averages(spark, folder):
+    """The stored table after a refresh that finds that the costs of one environment were missing in one month."""
+    facts, root = _by_cto(spark, folder, _AVERAGES), shared.new_folder(spark, "stored-averages")
+    changed = DateRange(date(1998, 3, 1), date(1998, 3, 31))
+    known = facts.filter(f"not (environment = 'PROD' and {changed.contains()})")
+    stored_averages.refresh_averages(known, root, DATES)
+    stored_averages.refresh_averages(facts, root, DATES)
+    return stored_averages.read_averages(spark, root, DATES)
+
+
 @_query
 def named_query(spark, folder):
     _by_product(spark, folder).createOrReplaceTempView("named_query_facts")
@@ -641,6 +653,14 @@ def distinct_product_count(spark, folder):
     return pillars.agg(F.expr("count(distinct tr_product_id) as product_count"))
 
 
+@_query
+def sketched_product_counts(spark, folder):
+    """Numbers of products over months and quarters from stored sketches per day."""
+    facts = star_facts(spark, folder, "date", "tr_product_pillar_team", "tr_product_id")
+    kept = shared.stored(sketches.product_sketches(facts), "product-sketches")
+    return sketches.product_counts_by_month(kept)
+
+
 @_query
 def having_nonprod(spark, folder):
     products = breakdowns.env_pivot_sums(_by_product(spark, folder), DATES, "product")
@@ -757,6 +777,31 @@ def period_matrix(spark, folder):
     return periods.period_matrix(_by_environment(spark, folder, _PERIODS), DATES)
 
 
+def _trailing_spans() -> list[tuple[str, DateRange]]:
+    """For each day of two fiscal years the seven, thirty and ninety days that end on it, and the year to it."""
+    found, day = [], DATES.prior_year.start
+    while day <= DATES.cutoff:
+        year = DATES.prior_year if day <= DATES.prior_year.end else DATES.fiscal_year
+        found += [(f"{n} days to {day}", DateRange(day - timedelta(n - 1), day)) for n in (7, 30, 90)]
+        found.append((f"year to {day}", DateRange(year.start, day)))
+        day += timedelta(1)
+    return found
+
+
+@_query
+def span_costs(spark, folder):
+    """Some 2,200 overlapping spans in one pass."""
+    within = DateRange(DATES.prior_year.start - timedelta(89), DATES.cutoff)
+    facts = _by_environment(spark, folder, [within])
+    return spans.span_costs(facts, spans.spans_table(spark, _trailing_spans()), within)
+
+
+@_query
+def scorecards(spark, folder):
+    columns = "date", "environment", "cost", "cto", "tr_product_pillar_team", "tr_product_id"
+    return subsets.scorecards(star_facts(spark, folder, *columns, spans=_SUMMARY), DATES)
+
+
 @_query
 def run_rate_forecast(spark, folder):
     costs = periods.ytd_costs(_by_environment(spark, folder, _YTD), DATES)
@@ -837,3 +882,10 @@ def pillar_to_cto(spark, folder):
 @_query
 def cost_report(spark, folder):
     return report.long_form(_stored_sections(spark, folder))
+
+
+@_query
+def filtered_cost_report(spark, folder):
+    """The whole report under an organisation, a pillar and a product."""
+    facts = star_facts(spark, folder, *_PRODUCT_COLUMNS)
+    return report.long_form(report.cost_report(facts, DATES, TOP_N, CHOSEN_PRODUCT, THRESHOLD))

@@ -66,10 +66,20 @@ def fiscal_year_averages(
     facts: DataFrame, dates: ReportDates, mode: str = "prefix", chosen: CostFilter = NO_FILTER
 ) -> DataFrame:
     """Average cost per day with cost, per environment and organisation, for each fiscal-year column."""
-    rollup = daily_rollup(facts, dates.average_span, mode, chosen)
+    return averages_of_rollup(daily_rollup(facts, dates.average_span, mode, chosen), dates)
+
+
+def averages_of_rollup(rollup: DataFrame, dates: ReportDates) -> DataFrame:
+    """Fiscal-year averages of exact costs per (date, environment, organisation)."""
     return rollup.groupBy(*GROUP).agg(*[F.expr(column) for column in _average_columns(dates)])
 
 
+def table_of_parts(rollup: DataFrame, averages: DataFrame, dates: ReportDates) -> DataFrame:
+    """The daily-average table from costs and averages that are kept apart; a NULL organisation has averages of zero."""
+    filled = [f"{or_zero(name)} as {name}" for name in dates.average_columns.values()]
+    return rollup.join(averages, GROUP, "left").selectExpr("date", *GROUP, *filled, _DAILY_COST)
+
+
 def conditional_distinct_days(facts: DataFrame, dates: ReportDates, mode: str = "prefix") -> DataFrame:
     """Number of days with cost per environment and organisation in each fiscal period."""
     rollup = daily_rollup(facts, dates.average_span, mode)

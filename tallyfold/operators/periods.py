@@ -201,6 +201,13 @@ def environment_breakdown(facts: DataFrame, dates: ReportDates, chosen: CostFilt
 
 def scorecard(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILTER) -> DataFrame:
     """One row with every headline figure of the report, from one scan."""
+    return scorecard_figures(_fiscal_summary(facts, dates, chosen))
+
+
+def scorecard_figures(sums: DataFrame, *kept: str) -> DataFrame:
+    """Headline figures of rows of year-to-date, full-year and prior sums per environment, behind the columns ``kept``."""
+    periods = [period for period in ("ytd", "fy", "prior") if f"total_{period}" not in sums.columns]
+    totals = sums.selectExpr("*", *[f"prod_{period} + nonprod_{period} as total_{period}" for period in periods])
     amounts = {
         "prod_ytd_cost": "prod_ytd",
         "nonprod_ytd_cost": "nonprod_ytd",
@@ -221,5 +228,5 @@ def scorecard(facts: DataFrame, dates: ReportDates, chosen: CostFilter = NO_FILT
         "nonprod_percentage_change": _SHARE_CHANGE,
     }
     classes = {f"{name}_class": change_direction(name) for name in changes}
-    figures = _fiscal_summary(facts, dates, chosen).selectExpr(*_aliased(amounts), *_aliased(changes))
+    figures = totals.selectExpr(*kept, *_aliased(amounts), *_aliased(changes))
     return figures.selectExpr("*", *_aliased(classes))

@@ -93,9 +93,14 @@ def remove_old_versions(spark: SparkSession, root: str) -> int:
     known = current_version(spark, root)
     if known is None:
         return 0
-    jvm, target, system = _hadoop(spark, root)
-    kept = known["folder"].split("/")[0]
-    old = [entry.getPath() for entry in system.listStatus(target) if entry.getPath().getName().startswith("v-") and entry.getPath().getName() != kept]
+    return remove_folders(spark, root, {known["folder"].split("/")[0]})
+
+
+def remove_folders(spark: SparkSession, root: str, kept: set[str]) -> int:
+    """Delete all versions below ``root`` but those named in ``kept``; returns how many."""
+    _, target, system = _hadoop(spark, root)
+    names = {entry.getPath().getName(): entry.getPath() for entry in system.listStatus(target)}
+    old = [path for name, path in names.items() if name.startswith("v-") and name not in kept]
     for path in old:
         system.delete(path, True)
     return len(old)
