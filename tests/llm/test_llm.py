@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import difference, duckdb_on, oracle_rows, spark_rows
 
@@ -413,7 +414,7 @@ def test_scores_equal_those_of_counts_by_hand(spark, odd, none):
     chosen = spark.createDataFrame([(1,), (1,), (None,)], "doc_id long")
     found = {r.doc_id: r for r in language_models.entropy_difference(docs, chosen).collect()}
     assert found[4].score is None and found[1].score < found[3].score
-    prior, size = language_models.PRIOR, language_models.WORDS
+    prior, size = language_models.PRIOR, 6
 
     def loss(words, singles, pairs, scale):
         total, result = scale * sum(singles.values()), []
@@ -431,7 +432,7 @@ def test_scores_equal_those_of_counts_by_hand(spark, odd, none):
     target, every = counted([texts[1]]), counted(texts.values())
     for i in (1, 2, 3):
         words = texts[i].split()
-        assert found[i].score == pytest.approx(loss(words, *target, 1) - loss(words, *every, 5 / 10), rel=1e-4)
+        assert found[i].score == pytest.approx(loss(words, *target, 1) - loss(words, *every, 5 / 10), rel=1e-9)
     assert language_models.entropy_difference(odd, chosen).count() == 10
     assert language_models.entropy_difference(none, chosen).count() == 0
 
@@ -442,13 +443,13 @@ def test_words_share_no_count(spark):
     chosen = spark.createDataFrame([(0,), (1,)], "doc_id long")
     found = {r.doc_id: r.score for r in language_models.entropy_difference(_documents(spark, [(i, t, "s") for i, t in texts.items()]), chosen).collect()}
     split = {i: t.split() for i, t in texts.items()}
-    prior = language_models.PRIOR
+    prior, size = language_models.PRIOR, len({w for words in split.values() for w in words})
 
     def counted(some):
         return Counter(w for i in some for w in split[i]), Counter(p for i in some for p in zip(split[i], split[i][1:]))
 
     def loss(words, singles, pairs, scale):
-        total, base = scale * sum(singles.values()), prior / language_models.WORDS
+        total, base = scale * sum(singles.values()), prior / size
         p = [(scale * singles[w] + base) / (total + prior) for w in words]
         p[1:] = [(scale * pairs[a, b] + prior * q) / (scale * singles[a] + prior) for a, b, q in zip(words, words[1:], p[1:])]
         return -np.log(p).mean()
@@ -458,6 +459,59 @@ def test_words_share_no_count(spark):
         assert found[i] == pytest.approx(loss(words, *target, 1) - loss(words, *every, 2 / 6), rel=1e-9)
 
 
+def test_probabilities_after_any_word_sum_to_one():
+    texts = pa.chunked_array([["a b a c a b", "c c d", "e a b d"]])
+    block = language_models.Block(texts)
+    every = block.counts()
+    model = np.where(np.arange(len(every)) % 2, every, every // 2).astype(float)
+    model[0] = model[1 : 1 + block.different].sum()
+    starts, pairs = language_models.losses(block, model, 1 / block.different)
+    assert np.exp(-starts).sum() == pytest.approx(1)
+    # A word's followers must add up to its own count for its probabilities to add up to 1.
+    for word in range(block.different):
+        mine = block.before == word
+        model[1 + word] = model[1 + block.different :][mine].sum()
+    model[0] = model[1 : 1 + block.different].sum()
+    starts, pairs = language_models.losses(block, model, 1 / block.different)
+    for word in range(block.different):
+        mine = block.before == word
+        unseen = np.setdiff1d(np.arange(block.different), block.after[mine])
+        rest = language_models.PRIOR * np.exp(-starts[unseen]).sum() / (model[1 + word] + language_models.PRIOR)
+        assert np.exp(-pairs[mine]).sum() + rest == pytest.approx(1)
+
+
+@pytest.mark.parametrize("values", [[0], [255, 1], [256, 0, 3], [70_000], [2**40, 5]])
+def test_lists_of_keys_and_counts_come_back(values):
+    counts = np.array(values, np.int64)
+    assert (language_models._unpacked_counts(language_models._packed_counts(counts), len(counts)) == counts).all()
+    keys = np.sort(np.random.default_rng(len(values)).integers(0, 2**64, 50 + values[0] % 7, np.uint64))
+    keys[1] = keys[0]
+    assert (language_models._unpacked_keys(language_models._packed_keys(keys)) == keys).all()
+
+
+def test_an_id_with_a_third_of_the_rows_is_spread(spark):
+    """Also rows without an id, and rows alike; scores do not depend on the blocks."""
+    order = np.random.default_rng(3)
+    hot = [(7, "one text that many rows repeat " * 3, "s")] * 300 + [(None, "no id but the same text " * 4, "s")] * 300
+    docs = _documents(spark, hot + [(100 + i, " ".join(f"w{n}" for n in order.integers(0, 200, 20)), "s") for i in range(300)])
+    large = language_models.large_ids(docs, 2_000)
+    assert [tuple(row) for row in large.collect()] == [(7, -(-300 * 93 // 2_000))]
+    dealt = language_models.dealt_documents(docs, large, 60)
+    sizes = {row.block: row["count"] for row in dealt.groupBy("block").count().collect()}
+    assert sum(sizes.values()) == 900 and max(sizes.values()) < 90
+    chosen = spark.createDataFrame([(7,), (101,), (7,)], "doc_id long")
+    held = {row.block for row in language_models.dealt_targets(chosen.distinct(), large, 60).filter("doc_id = 7").collect()}
+    assert {row.block for row in dealt.filter("doc_id = 7").select("block").distinct().collect()} <= held
+    small, whole = (language_models.entropy_difference(docs, chosen, size).collect() for size in (2_000, 10**9))
+    assert sorted(map(repr, small)) == sorted(map(repr, whole)) and len(small) == 900
+
+
+def test_vocabulary_is_counted_across_tasks(spark, monkeypatch, none):
+    docs = _documents(spark, [(i, f"Word{i % 40} word{i % 7} é\u00a0x", "s") for i in range(200)])
+    assert language_models.vocabulary(docs.repartition(5)) == (42, docs.selectExpr("sum(length(text))").first()[0])
+    assert language_models.vocabulary(none) == (0, 0)
+
+
 # Licences
 
 
