@@ -25,8 +25,8 @@ without an id over all. A block asks once for each of its different words and pa
 counts. These are dealt by ranges of their hashes into as many buckets, a list for each, where the
 counts of all blocks are added up; the sums go back to the block, which scores its documents with
 them. So the model is never in one place: a task holds the part that one block or bucket needs, and a
-key has at most one entry a block, however frequent it is. A list is its bytes, without a frame, and
-none is empty: however many blocks there are, lists cost no more than a row for each key of a block.
+key has at most one entry a block, however frequent it is. A list is little more than its bytes and
+none is empty: however many blocks there are, lists cost about a row for each key of a block at most.
 Texts are moved once, for both passes.
 """
 
@@ -144,12 +144,14 @@ def _unpacked_keys(data: bytes) -> np.ndarray:
 
 
 def _packed_counts(counts: np.ndarray) -> bytes:
-    """Counts in the fewest bytes that hold the largest."""
-    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+    """Counts in the fewest bytes that hold the largest, compressed after that number of bytes."""
+    kind = np.min_scalar_type(int(counts.max()))
+    return bytes([kind.itemsize]) + pa.compress(counts.astype(kind).tobytes(), "zstd", asbytes=True)
 
 
 def _unpacked_counts(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64)
+    raw = pa.decompress(data[1:], n * data[0], "zstd", asbytes=True)
+    return np.frombuffer(raw, f"u{data[0]}").astype(np.int64)
 
 
 def _lists(block: list[int], bucket: list[int], *columns: list[bytes]) -> pa.Table:
